@@ -108,3 +108,182 @@ def q_ledger_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ledger_eta")
 def q_ledger_eta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.eta(fx.trait_ledger(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- network (2.B)
+from genenet_spark.operators import analysis, hypergraph, iterative, network, significance  # noqa: E402
+from genenet_spark.params import DEFAULTS, LAYERS  # noqa: E402
+
+# 2.B queries run with all three layers active (weight 1.0 each) so that
+# integration, cross-layer overlap and hypergraph links have something to combine.
+MULTILAYER = DEFAULTS.with_(layers={name: (True, 1.0) for name in LAYERS})
+AREA_SELECTION = MULTILAYER.with_(
+    traits_use_all=False, traits_areas=("AUTOMOBILE", "MACHINERY"), traits_exclude=("EFO_001_AU",)
+)
+PROPAGATION_ITERATIONS = 10
+HUB_ITERATIONS = 20
+
+
+def network_inputs(spark: SparkSession, sf_dir: str, params=MULTILAYER):
+    h = harmonized(spark, sf_dir)
+    graph = network.interaction_graph(h["interactome"])
+    layers = network.trait_layers(h["gwas_common"], h["gwas_rare"], h["expression"], params)
+    return h, graph, layers
+
+
+@register("interaction_graph")
+def q_interaction_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N1 over the harmonised interactome."""
+    _, graph, _ = network_inputs(spark, sf_dir)
+    return presentable(graph)
+
+
+@register("trait_layers")
+def q_trait_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(trait, layer, gene, score) over the three harmonised layers."""
+    _, _, layers = network_inputs(spark, sf_dir)
+    return presentable(layers)
+
+
+@register("select_traits")
+def q_select_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traits in two therapeutic areas, minus one excluded id."""
+    h, _, layers = network_inputs(spark, sf_dir)
+    return network.select_traits(layers, h["diseases"], AREA_SELECTION)
+
+
+@register("seed_scores")
+def q_seed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layer scores on graph genes, normalised to sum 1 per (trait, layer)."""
+    _, graph, layers = network_inputs(spark, sf_dir)
+    return presentable(network.seed_scores(layers, graph, MULTILAYER))
+
+
+@register("node_metrics")
+def q_node_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Degree and strength of every graph gene."""
+    _, graph, _ = network_inputs(spark, sf_dir)
+    return presentable(network.node_metrics(graph))
+
+
+@register("association_strength")
+def q_association_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """-log10 p per harmonised common-variant association."""
+    h = harmonized(spark, sf_dir)
+    z = network.association_strength(h["gwas_common"])
+    return presentable(
+        z.select(F.col("diseaseId").alias("trait_id"), F.col("targetId").alias("gene_id"), "variantId",
+                 "studyId", "neg_log10_p")
+    )
+
+
+@register("annotate_traits")
+def q_annotate_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AN1: every layer trait with its name and therapeutic areas."""
+    h, _, layers = network_inputs(spark, sf_dir)
+    return network.annotate_traits(network.select_traits(layers, h["diseases"], MULTILAYER), h["diseases"])
+
+
+def _normed(spark, sf_dir):
+    _, _, layers = network_inputs(spark, sf_dir)
+    return analysis.normalize_layers(layers, MULTILAYER)
+
+
+@register("normalize_layers")
+def q_normalize_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Min-max normalised layer scores."""
+    return presentable(_normed(spark, sf_dir))
+
+
+@register("integrate_layers")
+def q_integrate_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean / median / max over layers of the normalised scores."""
+    return presentable(analysis.integrate_layers(_normed(spark, sf_dir), MULTILAYER))
+
+
+@register("rank_genes")
+def q_rank_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: top 25% genes per trait by integrated score (>= 0.1)."""
+    integ = analysis.integrate_layers(_normed(spark, sf_dir), MULTILAYER)
+    return presentable(analysis.rank_genes(integ, MULTILAYER))
+
+
+@register("propagate")
+def q_propagate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personalised PageRank from the seed scores, fixed 10 iterations."""
+    _, graph, layers = network_inputs(spark, sf_dir)
+    seeds = network.seed_scores(layers, graph, MULTILAYER)
+    return presentable(iterative.propagate(graph, seeds, MULTILAYER, max_iter=PROPAGATION_ITERATIONS, tol=0.0))
+
+
+@register("hub_score")
+def q_hub_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3: HITS hub score, 20 power iterations."""
+    _, graph, _ = network_inputs(spark, sf_dir)
+    return presentable(iterative.hub_score(graph, iterations=HUB_ITERATIONS))
+
+
+@register("coreness")
+def q_coreness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-core number of every graph gene (iterated until stable)."""
+    _, graph, _ = network_inputs(spark, sf_dir)
+    return iterative.coreness(graph)
+
+
+def clustered(spark: SparkSession, sf_dir: str):
+    """C1 on every (trait, layer) gene set restricted to the graph."""
+    _, graph, layers = network_inputs(spark, sf_dir)
+    on_graph = layers.join(network.graph_nodes(graph), "gene_id", "left_semi")
+    comms = iterative.communities(graph, on_graph, MULTILAYER)
+    return graph, on_graph, comms
+
+
+@register("communities")
+def q_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Modularity local-moving communities per (trait, layer), size >= 5."""
+    return clustered(spark, sf_dir)[2]
+
+
+@register("recluster")
+def q_recluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sub-communities inside communities of >= 30 genes."""
+    graph, _, comms = clustered(spark, sf_dir)
+    return iterative.recluster(graph, comms, MULTILAYER)
+
+
+@register("cluster_jaccard")
+def q_cluster_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jaccard overlap of communities across layers of a trait."""
+    _, _, comms = clustered(spark, sf_dir)
+    return presentable(analysis.cluster_jaccard(comms, list(LAYERS)))
+
+
+@register("permutation_test")
+def q_permutation_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + T2: permutation p-values (1000 score permutations) and BH q-values per trait."""
+    _, on_graph, comms = clustered(spark, sf_dir)
+    return presentable(significance.permutation_test(on_graph, comms, MULTILAYER))
+
+
+@register("hypergraph_incidence")
+def q_hypergraph_incidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Community hyperedges over genes."""
+    _, _, comms = clustered(spark, sf_dir)
+    return hypergraph.incidence(comms, MULTILAYER)
+
+
+@register("hyperedge_links")
+def q_hyperedge_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Y2: cross-layer hyperedges of a trait sharing >= 2 genes."""
+    _, _, comms = clustered(spark, sf_dir)
+    return hypergraph.links(comms, list(LAYERS), MULTILAYER)
+
+
+@register("global_summary")
+def q_global_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: per trait ranked genes, communities, significant communities, top gene."""
+    _, on_graph, comms = clustered(spark, sf_dir)
+    integ = analysis.integrate_layers(analysis.normalize_layers(on_graph, MULTILAYER), MULTILAYER)
+    ranking = analysis.rank_genes(integ, MULTILAYER)
+    sig = significance.permutation_test(on_graph, comms, MULTILAYER)
+    return analysis.global_summary(ranking, comms, sig)

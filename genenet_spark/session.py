@@ -8,6 +8,7 @@ a local-mode session without one gets a fresh scratch directory.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,11 +76,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared checkpoint directory).
+def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint directory and read it back.
 
-    Survives executor loss, unlike a local checkpoint, and keeps the output
-    partitioning so the next iteration's co-partitioned join needs no shuffle.
+    Survives executor loss (unlike a local checkpoint), and, unlike an RDD
+    checkpoint, the re-read table carries real file sizes, so the planner's
+    broadcast decisions and adaptive execution stay size-aware after many
+    iterations instead of seeing an unknown (maximal) size.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/lineage/{name or uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
