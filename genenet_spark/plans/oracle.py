@@ -8,6 +8,11 @@ written independently from the Spark operators, from the documented semantics.
 from __future__ import annotations
 
 
+# Unrolled rounds for the coreness oracle: more than the rounds Spark needs to
+# reach the fixed point on these graphs; extra rounds leave a fixed point unchanged.
+CORE_ROUNDS = 40
+
+
 def ENS(x: str) -> str:
     return f"concat('ENSG', lpad(CAST({x} AS VARCHAR), 11, '0'))"
 
@@ -298,6 +303,7 @@ SELECT {_bigint("count(DISTINCT CASE WHEN status = 'ok' THEN trait_id END)", 'n_
        round(sum(tiempo_s), 6) AS tiempo_total,
        {_bigint("count(DISTINCT trait_id) - count(DISTINCT CASE WHEN status = 'ok' THEN trait_id END)", 'n_err')}
 FROM ledger""")
+    q.update(NET_ORACLE(10, 0.15, 20, CORE_ROUNDS))
     q["ledger_eta"] = with_ctes(["ledger"], """
 SELECT rn, trait_id, status, mean_recent_s, n - rn AS remaining,
        CASE WHEN n - rn <= 0 THEN NULL ELSE round(mean_recent_s * (n - rn), 4) END AS eta_s
@@ -305,3 +311,130 @@ FROM (SELECT *, round(avg(tiempo_s) OVER (ORDER BY rn ROWS BETWEEN 9 PRECEDING A
       FROM (SELECT *, row_number() OVER (ORDER BY timestamp ASC NULLS FIRST, seq ASC NULLS FIRST) AS rn,
                    count(*) OVER () AS n FROM ledger))""")
     return q
+
+
+# ------------------------------------------------------------------ 2.B (network)
+NET_CTES: dict[str, tuple[list[str], str]] = {
+    "graph": (["h_interactome"], """
+SELECT least(targetA, targetB) AS gene_a, greatest(targetA, targetB) AS gene_b,
+       max(scoring) AS weight, count(DISTINCT sourceDatabase) AS n_sources
+FROM h_interactome WHERE targetA <> targetB GROUP BY 1, 2"""),
+    "dedges": (["graph"], """
+SELECT gene_a AS src, gene_b AS dst, weight FROM graph
+UNION ALL SELECT gene_b, gene_a, weight FROM graph"""),
+    "nodes": (["graph"], "SELECT gene_a AS gene_id FROM graph UNION SELECT gene_b FROM graph"),
+    "layers_raw": (["h_common", "h_rare", "h_expression"], """
+SELECT diseaseId AS trait_id, 'gwas_comun' AS capa, targetId AS gene_id, CAST(score AS DOUBLE) AS score FROM h_common
+UNION ALL SELECT diseaseId, 'gwas_rara', targetId, CAST(score AS DOUBLE) FROM h_rare
+UNION ALL SELECT efo_code, 'expresion', id, CAST(rna_level AS DOUBLE) / CAST(3 AS DOUBLE) FROM h_expression"""),
+    "layers": (["layers_raw"], """
+SELECT * FROM (SELECT trait_id, capa, gene_id, max(score) AS score FROM layers_raw GROUP BY ALL) p
+WHERE EXISTS (SELECT 1 FROM (SELECT trait_id, capa FROM layers_raw GROUP BY ALL
+                             HAVING count(DISTINCT gene_id) >= 2) k
+              WHERE k.trait_id = p.trait_id AND k.capa = p.capa)"""),
+    "seeds": (["layers", "nodes"], """
+SELECT trait_id, capa, gene_id, raw / sum(raw) OVER (PARTITION BY trait_id, capa) AS seed
+FROM (SELECT trait_id, capa, gene_id, score * 1.0 AS raw FROM layers
+      WHERE gene_id IN (SELECT gene_id FROM nodes) AND score * 1.0 > 0)"""),
+    "normed": (["layers"], """
+SELECT l.trait_id, l.capa, l.gene_id, l.score,
+       round(CASE WHEN s.mx - s.mn = 0 THEN 0.0 ELSE (l.score - s.mn) / (s.mx - s.mn) END, 12) AS norm_score
+FROM layers l JOIN (SELECT trait_id, capa, min(score) AS mn, max(score) AS mx FROM layers GROUP BY ALL) s
+  ON l.trait_id = s.trait_id AND l.capa = s.capa"""),
+    "integrated": (["normed"], """
+SELECT trait_id, gene_id, round(sum(ws) / sum(w), 12) AS score_mean, round(median(ws), 12) AS score_median,
+       round(max(ws), 12) AS score_max, count(*) AS n_layers, round(sum(ws) / sum(w), 12) AS score
+FROM (SELECT *, 1.0 AS w, 1.0 * norm_score AS ws FROM normed) GROUP BY trait_id, gene_id"""),
+    "tedges": (["dedges"], """
+SELECT src, dst, weight / sum(weight) OVER (PARTITION BY src) AS weight FROM dedges"""),
+}
+
+
+def _ppr_ctes(iterations: int, alpha: float) -> dict[str, tuple[list[str], str]]:
+    out: dict[str, tuple[list[str], str]] = {
+        "r0": (["seeds"], "SELECT trait_id, capa, gene_id AS node, seed AS rank FROM seeds"),
+    }
+    for i in range(1, iterations + 1):
+        out[f"r{i}"] = ([f"r{i - 1}", "tedges", "seeds"], f"""
+SELECT coalesce(w.trait_id, s.trait_id) AS trait_id, coalesce(w.capa, s.capa) AS capa,
+       coalesce(w.node, s.gene_id) AS node,
+       {alpha} * coalesce(s.seed, 0.0) + {1.0 - alpha} * coalesce(w.rank, 0.0) AS rank
+FROM (SELECT r.trait_id, r.capa, e.dst AS node, sum(r.rank * e.weight) AS rank
+      FROM r{i - 1} r JOIN tedges e ON r.node = e.src GROUP BY ALL) w
+FULL OUTER JOIN seeds s ON w.trait_id = s.trait_id AND w.capa = s.capa AND w.node = s.gene_id""")
+    return out
+
+
+def _hits_ctes(iterations: int) -> dict[str, tuple[list[str], str]]:
+    out: dict[str, tuple[list[str], str]] = {
+        "x0": (["dedges"], "SELECT DISTINCT src AS node, 1.0 AS x FROM dedges"),
+    }
+    for i in range(1, iterations + 1):
+        out[f"y{i}"] = ([f"x{i - 1}", "dedges"], f"""
+SELECT e.dst AS node, sum(x.x * e.weight) AS x FROM x{i - 1} x JOIN dedges e ON x.node = e.src GROUP BY e.dst""")
+        out[f"z{i}"] = ([f"y{i}", "dedges"], f"""
+SELECT e.dst AS node, sum(y.x * e.weight) AS x FROM y{i} y JOIN dedges e ON y.node = e.src GROUP BY e.dst""")
+        out[f"x{i}"] = ([f"z{i}"], f"SELECT node, x / (SELECT max(x) FROM z{i}) AS x FROM z{i}")
+    return out
+
+
+def _core_ctes(rounds: int) -> dict[str, tuple[list[str], str]]:
+    out: dict[str, tuple[list[str], str]] = {
+        "c0": (["dedges"], "SELECT src AS node, count(*) AS c FROM dedges GROUP BY src"),
+    }
+    for i in range(1, rounds + 1):
+        out[f"c{i}"] = ([f"c{i - 1}", "dedges"], f"""
+SELECT node, max(least(v, ge)) AS c FROM (
+  SELECT node, v, sum(n) OVER (PARTITION BY node ORDER BY v DESC) AS ge FROM (
+    SELECT e.src AS node, c.c AS v, count(*) AS n FROM dedges e JOIN c{i - 1} c ON e.dst = c.node GROUP BY ALL))
+GROUP BY node""")
+    return out
+
+
+def NET_ORACLE(propagation_iterations: int, alpha: float, hub_iterations: int, core_rounds: int) -> dict[str, str]:
+    def w(names, body, extra=None):
+        e = dict(NET_CTES)
+        e.update(extra or {})
+        return with_ctes(names, body, e)
+
+    q: dict[str, str] = {}
+    q["interaction_graph"] = w(["graph"], "SELECT gene_a, gene_b, round(weight, 6) + 0.0 AS weight, n_sources FROM graph")
+    q["trait_layers"] = w(["layers"], "SELECT trait_id, capa, gene_id, round(score, 6) + 0.0 AS score FROM layers")
+    q["select_traits"] = w(["layers", "h_diseases"], """
+SELECT DISTINCT trait_id FROM layers
+WHERE trait_id IN (SELECT id FROM h_diseases
+                   WHERE len(list_intersect(therapeuticAreas, ['AUTOMOBILE', 'MACHINERY'])) > 0)
+  AND trait_id NOT IN ('EFO_001_AU')""")
+    q["seed_scores"] = w(["seeds"], "SELECT trait_id, capa, gene_id, round(seed, 6) + 0.0 AS seed FROM seeds")
+    q["node_metrics"] = w(["dedges"], """
+SELECT src AS gene_id, count(*) AS degree, round(sum(weight), 6) + 0.0 AS strength FROM dedges GROUP BY src""")
+    q["association_strength"] = w(["h_common"], """
+SELECT diseaseId AS trait_id, targetId AS gene_id, variantId, studyId,
+       round(-(log10(pValueMantissa) + CAST(pValueExponent AS DOUBLE)), 6) + 0.0 AS neg_log10_p
+FROM h_common""")
+    q["annotate_traits"] = w(["layers", "h_diseases"], """
+SELECT t.trait_id, d.name AS trait_name,
+       unnest(CASE WHEN d.therapeuticAreas IS NULL OR len(d.therapeuticAreas) = 0
+                   THEN [CAST(NULL AS VARCHAR)] ELSE d.therapeuticAreas END) AS therapeutic_area
+FROM (SELECT DISTINCT trait_id FROM layers) t LEFT JOIN h_diseases d ON d.id = t.trait_id""")
+    q["normalize_layers"] = w(["normed"], """
+SELECT trait_id, capa, gene_id, round(score, 6) + 0.0 AS score, round(norm_score, 6) + 0.0 AS norm_score FROM normed""")
+    q["integrate_layers"] = w(["integrated"], """
+SELECT trait_id, gene_id, round(score_mean, 6) + 0.0 AS score_mean, round(score_median, 6) + 0.0 AS score_median,
+       round(score_max, 6) + 0.0 AS score_max, n_layers, round(score, 6) + 0.0 AS score FROM integrated""")
+    q["rank_genes"] = w(["integrated"], """
+SELECT trait_id, gene_id, round(score_mean, 6) + 0.0 AS score_mean, round(score_median, 6) + 0.0 AS score_median,
+       round(score_max, 6) + 0.0 AS score_max, n_layers, round(score, 6) + 0.0 AS score, rank, n_genes
+FROM (SELECT *, row_number() OVER (PARTITION BY trait_id ORDER BY score DESC, gene_id ASC) AS rank,
+             count(*) OVER (PARTITION BY trait_id) AS n_genes
+      FROM integrated WHERE score >= 0.1)
+WHERE rank <= ceil(0.25 * n_genes)""")
+    last = f"r{propagation_iterations}"
+    q["propagate"] = w([last], f"SELECT trait_id, capa, node AS gene_id, round(rank, 6) + 0.0 AS rank FROM {last}",
+                       _ppr_ctes(propagation_iterations, alpha))
+    xl = f"x{hub_iterations}"
+    q["hub_score"] = w([xl], f"SELECT node AS gene_id, round(x, 6) + 0.0 AS hub_score FROM {xl}",
+                       _hits_ctes(hub_iterations))
+    cl = f"c{core_rounds}"
+    q["coreness"] = w([cl], f"SELECT node AS gene_id, c AS coreness FROM {cl}", _core_ctes(core_rounds))
+    return q
