@@ -116,16 +116,32 @@ def harmonize_diseases(diseases: DataFrame, gwas_common: DataFrame, gwas_rare: D
     return is_in(diseases, "id", used, "diseaseId")
 
 
+class Harmonized(dict):
+    """H1-H6 chained the way the reference documents them; each table is planned on first use."""
+
+    def __init__(self, raw: dict[str, DataFrame], params: Params = DEFAULTS):
+        super().__init__()
+        self._raw, self._params = raw, params
+
+    def __missing__(self, name: str) -> DataFrame:
+        raw, p = self._raw, self._params
+        if name == "genes":
+            df = harmonize_genes(raw["genes"])
+        elif name == "interactome":
+            df = harmonize_interactome(raw["interactome"], self["genes"], p)
+        elif name == "gwas_common":
+            df = harmonize_gwas_common(raw["gwas_common"], self["genes"], p)
+        elif name == "gwas_rare":
+            df = harmonize_gwas_rare(raw["gwas_rare"], self["genes"], p)
+        elif name == "expression":
+            df = harmonize_expression(raw["expression"], self["genes"], p)
+        elif name == "diseases":
+            df = harmonize_diseases(raw["diseases"], self["gwas_common"], self["gwas_rare"])
+        else:
+            raise KeyError(name)
+        self[name] = df
+        return df
+
+
 def harmonize_all(raw: dict[str, DataFrame], params: Params = DEFAULTS) -> dict[str, DataFrame]:
-    """H1-H6 chained the way the reference documents them."""
-    genes = harmonize_genes(raw["genes"])
-    common = harmonize_gwas_common(raw["gwas_common"], genes, params)
-    rare = harmonize_gwas_rare(raw["gwas_rare"], genes, params)
-    return {
-        "genes": genes,
-        "interactome": harmonize_interactome(raw["interactome"], genes, params),
-        "gwas_common": common,
-        "gwas_rare": rare,
-        "expression": harmonize_expression(raw["expression"], genes, params),
-        "diseases": harmonize_diseases(raw["diseases"], common, rare),
-    }
+    return Harmonized(raw, params)

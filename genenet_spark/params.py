@@ -75,7 +75,7 @@ class Params:
     cache_enabled: bool = True
     cache_max_age_days: float | None = None
     # iterative jobs: cut lineage every N iterations
-    checkpoint_every: int = 1
+    checkpoint_every: int = 3
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

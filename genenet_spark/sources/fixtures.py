@@ -15,8 +15,15 @@ from pyspark.sql import functions as F
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+_SCANS: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Lazy scan of one driver table, memoised per session (no footer re-reads while planning)."""
+    key = (id(spark), sf_dir, name)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _SCANS[key]
 
 
 def ens(c: Column) -> Column:
@@ -256,5 +263,18 @@ BUILDERS = {
 }
 
 
+class _Lazy(dict):
+    """Dataset name -> adapter DataFrame, built on first access."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._sf = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = BUILDERS[name](self._spark, self._sf)
+        self[name] = df
+        return df
+
+
 def load_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {k: f(spark, sf_dir) for k, f in BUILDERS.items()}
+    return _Lazy(spark, sf_dir)
