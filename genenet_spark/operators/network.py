@@ -107,7 +107,7 @@ def select_traits(layers: DataFrame, diseases: DataFrame, params: Params = DEFAU
             )
             by_area = traits.join(in_area, "trait_id", "left_semi")
             chosen = by_area if chosen is None else chosen.unionByName(by_area).distinct()
-        traits = chosen if chosen is not None else traits.limit(0)
+        traits = chosen if chosen is not None else traits.where(F.lit(False))  # nothing selected
     if params.traits_exclude:
         traits = traits.where(~F.col("trait_id").isin(list(params.traits_exclude)))
     return traits
