@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,15 +46,24 @@ def doc_crc(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
-def single_thread_libs() -> None:
-    """Spark owns the cores: one thread per task for the tokenizer library."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+_SHIPPED: set[str] = set()
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once a session, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="genenet-py-")) / f"{root.name}.zip"  # served by the driver, read by no task
+    with zipfile.ZipFile(path, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    _SHIPPED.add(sc.applicationId)
 
 
-def texts_of(column: pa.Array) -> list[str]:
-    """Python strings of a text column; null is the empty text."""
-    return [x or "" for x in column.to_pylist()]
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with a function of this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)

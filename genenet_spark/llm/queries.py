@@ -7,19 +7,34 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from genenet_spark.llm import bpe
-from genenet_spark.llm.common import table
+from genenet_spark.llm import bpe, token_counts, token_file
+from genenet_spark.llm.common import scratch_path, table
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3: all documents written as a token file and read back from it."""
+    path = scratch_path(spark, "token-file")
+    token_file.write_token_file(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE))
+    return token_file.read_token_file(spark, path)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7 over all documents, with a cache that is empty at first."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
+                                     scratch_path(spark, "token-counts"))
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 8 over all documents: token counts, digests of the ids and of the decoded text."""
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), with_ids=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_file": op3_token_file,
+    "op7_token_counts": op7_token_counts,
     "op8_bpe_round_trip": op8_bpe_round_trip,
 }
 
