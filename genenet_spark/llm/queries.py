@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from genenet_spark.llm import bpe, token_counts, token_file
-from genenet_spark.llm.common import scratch_path, table
+from genenet_spark.llm import bpe, language, token_counts, token_file
+from genenet_spark.llm.common import doc_crc, scratch_path, table
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -32,10 +33,19 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), with_ids=False)
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10: learn from the documents of four of five folds, predict all."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", doc_crc(F.col("doc_id")) % 5 == 0)
+    model = language.train(docs.where(~F.col("held_out")))
+    return language.predict(docs, model, {"doc_id": "long", "held_out": "boolean"})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_file": op3_token_file,
     "op7_token_counts": op7_token_counts,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op10_language": op10_language,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the operator.
