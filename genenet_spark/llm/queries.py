@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genenet_spark.llm import bpe, language, token_counts, token_file
+from genenet_spark.llm import bpe, chat, language, token_counts, token_file
 from genenet_spark.llm.common import doc_crc, scratch_path, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -33,6 +33,42 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), with_ids=False)
 
 
+PLANTED_TURNS = [(-7, 0, "user"), (-7, 1, "assistant")]
+PLANTED_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9 over all conversations and the one of control strings, read back from the formatted texts."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(*t, PLANTED_TEXT) for t in PLANTED_TURNS], "conv_id long, turn long, role string, text string")
+    back = chat.read_back(chat.format_conversations(rows.unionByName(planted)))
+    nl = F.lit("\n")
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], nl, t["text"], nl)), "")
+    loss = F.array_join("loss_texts", "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+OP9_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, replace(replace(replace(role, '\', '\b'), '<', '\l'), '|', '\p') AS erole,
+         replace(replace(replace(text, '\', '\b'), '<', '\l'), '|', '\p') AS etext,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(etext) + CASE WHEN before IS NULL OR before <> role THEN length(erole) + 12 ELSE 5 END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10: learn from the documents of four of five folds, predict all."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -45,8 +81,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_file": op3_token_file,
     "op7_token_counts": op7_token_counts,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_chat": op9_chat,
     "op10_language": op10_language,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the operator.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_chat": OP9_SQL,
+}
