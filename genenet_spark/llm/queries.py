@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genenet_spark.llm import bpe, chat, language, token_counts, token_file
+from genenet_spark.llm import bpe, chat, language, lines, token_counts, token_file
 from genenet_spark.llm.common import doc_crc, scratch_path, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -22,6 +22,29 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.read_token_file(spark, path)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4 over all documents, with ``source`` as the site."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.drop_boilerplate(docs)
+
+
+OP4_SQL = f"""
+WITH l AS (
+  SELECT rid, doc_id, source, unnest(a) AS line, unnest(range(len(a))) AS pos
+  FROM (SELECT row_number() OVER () AS rid, doc_id, source, string_split(text, chr(10)) AS a FROM documents)),
+k AS (SELECT *, trim(replace(replace(line, chr(13), ' '), chr(9), ' ')) AS bare FROM l),
+site AS (SELECT source, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source HAVING count(*) >= {lines.MIN_PAGES}),
+bad AS (
+  SELECT k.source, bare FROM k JOIN site USING (source) WHERE bare <> ''
+  GROUP BY k.source, bare, site.n HAVING count(DISTINCT rid) > 1 AND count(DISTINCT rid) > CAST({lines.MAX_RATIO} AS DOUBLE) * site.n),
+cut AS (SELECT k.*, bad.bare IS NOT NULL AS gone FROM k LEFT JOIN bad ON k.source = bad.source AND k.bare = bad.bare)
+SELECT doc_id, source, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text, count(*) AS lines,
+       CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS lines_cut
+FROM cut GROUP BY rid, doc_id, source
+UNION ALL SELECT doc_id, source, text, 0, 0 FROM documents WHERE text IS NULL
+"""
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 7 over all documents, with a cache that is empty at first."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
@@ -79,6 +102,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_file": op3_token_file,
+    "op4_line_dedup": op4_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_chat": op9_chat,
@@ -87,5 +111,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL for the same rows, where SQL can express the operator.
 ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": OP4_SQL,
     "op9_chat": OP9_SQL,
 }
