@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genenet_spark.llm import bpe, chat, language, lines, token_counts, token_file
+from genenet_spark.llm import bpe, chat, decontaminate, language, lines, token_counts, token_file
 from genenet_spark.llm.common import doc_crc, scratch_path, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -45,6 +45,27 @@ UNION ALL SELECT doc_id, source, text, 0, 0 FROM documents WHERE text IS NULL
 """
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5: the benchmark items that leaked into documents."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _sql_shingles(name: str, key: str, n: int = decontaminate.WORDS) -> str:
+    w = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
+    return (f"SELECT {key}, array_to_string(w[i:i + {n - 1}], ' ') AS s FROM (SELECT {key}, w, unnest(range(1, len(w) - {n - 2})) AS i "
+            f"FROM (SELECT {key}, {w} AS w FROM {name}) WHERE len(w) >= {n})")
+
+
+OP5_SQL = f"""
+WITH d AS MATERIALIZED ({_sql_shingles("documents", "doc_id")}),
+i AS MATERIALIZED (SELECT DISTINCT * FROM ({_sql_shingles("benchmark", "item_id")})),
+z AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id)
+SELECT doc_id, item_id, count(DISTINCT s) AS shared, z.n AS item_shingles, count(DISTINCT s) / z.n::DOUBLE AS containment
+FROM d JOIN i USING (s) JOIN z USING (item_id) GROUP BY doc_id, item_id, z.n
+HAVING count(DISTINCT s) >= ceil(z.n * {decontaminate.THRESHOLD} - 1e-9)
+"""
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 7 over all documents, with a cache that is empty at first."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
@@ -103,6 +124,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_file": op3_token_file,
     "op4_line_dedup": op4_line_dedup,
+    "op5_decontamination": op5_decontamination,
     "op7_token_counts": op7_token_counts,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_chat": op9_chat,
@@ -112,5 +134,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB SQL for the same rows, where SQL can express the operator.
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
+    "op5_decontamination": OP5_SQL,
     "op9_chat": OP9_SQL,
 }
