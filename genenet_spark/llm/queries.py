@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genenet_spark.llm import bpe, chat, decontaminate, language, lines, token_counts, token_file
+from genenet_spark.llm import bpe, chat, decontaminate, jaccard, language, lines, token_counts, token_file
 from genenet_spark.llm.common import doc_crc, scratch_path, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -66,6 +66,11 @@ HAVING count(DISTINCT s) >= ceil(z.n * {decontaminate.THRESHOLD} - 1e-9)
 """
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6 over all documents: components of links by 3-word shingles at a Jaccard similarity of 0.9."""
+    return jaccard.link_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 7 over all documents, with a cache that is empty at first."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
@@ -125,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_file": op3_token_file,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_token_counts": op7_token_counts,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_chat": op9_chat,
