@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genenet_spark.llm import bpe, chat, decontaminate, jaccard, language, lines, token_counts, token_file
+from genenet_spark.llm import ann, bpe, chat, decontaminate, jaccard, language, lines, token_counts, token_file
 from genenet_spark.llm.common import doc_crc, scratch_path, table
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2 over all embeddings: the five nearest of each row whose id is divisible by 50."""
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 3: all documents written as a token file and read back from it."""
     path = scratch_path(spark, "token-file")
@@ -127,6 +132,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_neighbours": op2_neighbours,
     "op3_token_file": op3_token_file,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
