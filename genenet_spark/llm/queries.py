@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genenet_spark.llm import ann, bpe, chat, decontaminate, jaccard, language, lines, token_counts, token_file
+from genenet_spark.llm import ann, bpe, chat, decontaminate, jaccard, language, lines, lm_scoring, token_counts, token_file
 from genenet_spark.llm.common import doc_crc, scratch_path, table
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1 over all documents, learning from six of seven folds."""
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 2 over all embeddings: the five nearest of each row whose id is divisible by 50."""
     return ann.search(table(spark, sf_dir, "embeddings"))
@@ -132,6 +137,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op2_neighbours": op2_neighbours,
     "op3_token_file": op3_token_file,
     "op4_line_dedup": op4_line_dedup,
