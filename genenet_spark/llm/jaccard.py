@@ -189,6 +189,36 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     repeated; null ids never are the smallest (null only where all ids of a component are null); other columns
     are ignored; an empty table gives an empty result.
     """
+    signed, label = _labelled(docs, n, percent, id_col, text_col)
+    return signed.select("doc_id", F.col("n").alias("n_shingles"), "set").join(label, "set", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input rows without near duplicates: one row of each component stays.
+
+    It is the row of the smallest id (a null id only where all are null), of rows of that id the one of the
+    least text hash, of identical ones any. Rows without words are linked with nothing and stay.
+    """
+    signed, label = _labelled(docs, n, percent, id_col, text_col)
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    rows = signed.where("n > 0").join(label.select("set", "comp"), "set").select("comp", row.alias("row"))
+    first = rows.groupBy("comp").agg(F.min("row").alias("row"))
+    gone = rows.join(first.withColumnRenamed("row", "stays"), "comp").where(~F.col("row").eqNullSafe(F.col("stays"))).select("row").distinct()
+    gone = freeze(gone.select(F.col("row.doc_id").alias("__id"), F.col("row.text_key").alias("__key")), "dropped")
+    repeated = signed.where("n > 0").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    repeated = freeze(repeated.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")), "repeated")
+    key = F.xxhash64(F.col(text_col).cast("string").cast("binary"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
+    kept = docs.join(gone, same, "left_anti")
+    alone = kept.join(repeated, same, "left_anti")
+    one = kept.join(repeated, same, "left_semi").withColumn("__key", key).dropDuplicates([id_col, "__key"]).drop("__key")
+    return alone.unionByName(one)
+
+
+def _labelled(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(a signature row for each input row, ``set, comp, component_id, links`` for each distinct set)."""
     spark = docs.sparkSession
     text = F.col(text_col).cast("string").cast("binary")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
@@ -249,10 +279,8 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     degree = every.select(F.col("a").alias("set")).unionAll(every.select("b")).groupBy("set").agg(F.count(F.lit(1)).alias("links"))
     known = classes.select("set", "least").join(comp.withColumnRenamed("node", "set"), "set", "left").withColumn("comp", F.coalesce("comp", "set"))
     lowest = known.groupBy("comp").agg(F.min("least").alias("component_id"))
-    label = freeze(known.join(lowest, "comp").join(degree, "set", "left").select("set", "component_id", F.coalesce("links", F.lit(0)).alias("links")), "labels")
-    return signed.select("doc_id", F.col("n").alias("n_shingles"), "set").join(label, "set", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    label = known.join(lowest, "comp").join(degree, "set", "left")
+    return signed, freeze(label.select("set", "comp", "component_id", F.coalesce("links", F.lit(0)).alias("links")), "labels")
 
 
 def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:

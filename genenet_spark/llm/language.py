@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genenet_spark.llm.common import map_batches
+from genenet_spark.llm.common import map_batches, ship_package
 
 BUCKETS = 1 << 14
 #: Additive smoothing of n-gram counts, as a share of the mean bucket.
@@ -193,3 +193,26 @@ def predict(docs: DataFrame, model: LanguageModel, keep: dict[str, str], text_co
     picked = docs.select(*[F.col(c).cast(t).alias(c) for c, t in keep.items()], F.col(text_col).cast("string").alias("__text"))
     schema = ", ".join(f"`{c}` {t}" for c, t in keep.items())
     return map_batches(picked, _predictor(shared), f"{schema}, lang_pred string, score double, ambiguous boolean")
+
+
+def _keeper(model, text_at: int, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: LanguageModel = model.value
+        for batch in batches:
+            keep = []
+            for text in batch.column(text_at).to_pylist():
+                counts = bucket_counts(text, len(m.weights)) if text and m.languages else None
+                keep.append(counts is not None and m.decode(counts)[1] >= least)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The input rows, all columns as they are, whose language is told with a probability of ``least`` or more.
+
+    Rows with null text or without a letter go.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    ship_package(docs.sparkSession)
+    return docs.mapInArrow(_keeper(shared, docs.columns.index(text_col), least), docs.schema)
