@@ -1,0 +1,254 @@
+"""Operators 4, 5, 6, 9 and 10 against SQL or brute force, with their edge cases."""
+
+import random
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+
+from genenet_spark.llm import chat, decontaminate, jaccard, language, lines, queries
+
+TABLES = ["documents", "benchmark", "conversations"]
+CLASH = "n int, set string, comp string, row string, lines_cut string, words string, site string, line string"
+CLASH_ROW = (1, "x", "x", "x", "x", "x", "x", "x")
+
+
+def _rows(frame, columns):
+    return sorted(tuple(repr(r[c]) for c in columns) for r in frame.collect())
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_queries_match_duckdb(spark, sf0001, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf0001}/{t}.parquet')")
+    found = con.execute(queries.ORACLE_SQL[name])
+    columns = [d[0] for d in found.description]
+    expected = sorted(tuple(repr(v) for v in r) for r in found.fetchall())
+    got = queries.QUERIES[name](spark, sf0001)
+    assert sorted(got.columns) == sorted(columns)
+    assert _rows(got, columns) == expected
+
+
+# -- 4: line dedup ---------------------------------------------------------------
+
+
+def _pages(spark, rows):
+    return spark.createDataFrame([(*r, *CLASH_ROW) for r in rows], f"doc_id long, source string, text string, {CLASH}")
+
+
+def test_line_dedup_edges(spark):
+    rows = [(i, "a", f"menu\nonly {i}\n menu\t\n") for i in range(12)] + [(90, "a", None), (91, "a", ""), (92, "a", "free\nfree\n\n")]
+    rows += [(i, "b", "menu\nbody") for i in range(100, 105)]  # too few pages
+    rows += [(200, None, "menu\nx")] * 12  # no site
+    out = {(r.doc_id, r.source): r for r in lines.drop_boilerplate(_pages(spark, rows)).collect()}
+    assert out[3, "a"].text == "only 3\n" and (out[3, "a"]["lines"], out[3, "a"].lines_cut) == (4, 2)
+    assert out[90, "a"].text is None and out[90, "a"]["lines"] == 0
+    assert out[91, "a"].text == "" and out[92, "a"].text == "free\nfree\n\n"
+    assert out[100, "b"].text == "menu\nbody" and out[200, None].text == "menu\nx"
+    assert lines.drop_boilerplate(_pages(spark, rows)).count() == len(rows)
+    assert lines.drop_boilerplate(_pages(spark, rows[:1]).limit(0)).count() == 0
+
+
+def test_line_dedup_threshold_is_exclusive(spark):
+    rows = [(i, "a", "twice" if i < 2 else f"own {i}") for i in range(20)]  # 2 of 20 pages: exactly 0.1
+    assert all(r.lines_cut == 0 for r in lines.drop_boilerplate(_pages(spark, rows), max_ratio=0.1).collect())
+    out = lines.drop_boilerplate(_pages(spark, rows), max_ratio=0.09).collect()
+    assert sorted(r.doc_id for r in out if r.lines_cut) == [0, 1]
+    assert {r.text for r in out if r.lines_cut} == {""}
+
+
+# -- 5: decontamination ----------------------------------------------------------
+
+
+def _brute_leaks(docs, items, n=5, t=0.8):
+    import regex
+
+    def shingles(text):
+        w = regex.findall(r"[\p{L}\p{N}]+", (text or "").lower())
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+    of = defaultdict(set)
+    for i, x in items:
+        of[i] |= shingles(x)
+    return [(d, i) for d, x in docs for i, s in of.items() if s and len(s & shingles(x)) >= t * len(s) - 1e-9]
+
+
+def test_decontamination_matches_brute_force(spark):
+    random.seed(8)
+    vocabulary = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(random.choice(vocabulary) for _ in range(random.randint(3, 60)))) for i in range(25)]
+    items += [(30, None), (31, ""), (None, "one two three four five six seven"), (5, "a second row of item five with other words in it")]
+    docs = []
+    for d in range(60):
+        words = [random.choice(vocabulary) for _ in range(random.randint(0, 80))]
+        w = random.choice(items)[1]
+        if w and d % 2:
+            part = w.split()
+            if d % 3 == 0 and len(part) > 8:
+                part[random.randrange(len(part))] = "changed"
+            words[len(words) // 2 : 0] = [x.upper() + "," for x in part]
+        docs.append((d, " \n".join(words)))
+    docs += [(70, None), (71, ""), (72, "one two. Three four five six SEVEN"), (72, "one two. Three four five six SEVEN"), (None, docs[1][1])]
+    docs.append((80, "pad " * 30000 + (items[0][1] or "")))  # a short item in a very long text
+    frame = spark.createDataFrame([(*r, *CLASH_ROW, 1, "x") for r in docs], f"doc_id long, text string, {CLASH}, item_id int, h string")
+    bench = spark.createDataFrame([(*r, "x") for r in items], "item_id long, text string, doc_id string")
+    none = lambda p: tuple(-1 if v is None else v for v in p)
+    got = sorted(none((r.doc_id, r.item_id)) for r in decontaminate.leaks(frame, bench).collect())
+    assert got == sorted(map(none, _brute_leaks(docs, items)))
+    assert (72, -1) in got and got.count((72, -1)) == 2 and any(d == 80 for d, _ in got)
+    left = decontaminate.clean(frame, bench)
+    leaked = {x for d, x in docs for e, _ in got if none((d,))[0] == e}
+    assert sorted(none((r.doc_id,)) for r in left.collect()) == sorted(none((d,)) for d, x in docs if x not in leaked)
+    assert left.columns == frame.columns
+    assert decontaminate.leaks(frame.limit(0), bench).count() == decontaminate.leaks(frame, bench.limit(0)).count() == 0
+
+
+# -- 6: Jaccard join -------------------------------------------------------------
+
+
+def _brute_components(rows, n, percent):
+    def shingles(text):
+        w = (text or "").encode().lower().split()
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
+
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                parent[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        least[find(i)].append(d)
+    return [(d, len(sets[i]), min([x for x in least[find(i)] if x is not None], default=None)) for i, (d, _) in enumerate(rows)]
+
+
+def _near_rows():
+    random.seed(6)
+    rows, vocabulary = [], [f"v{i}" for i in range(300)]
+    for base in range(14):
+        words = [random.choice(vocabulary) for _ in range(random.choice([2, 5, 30, 80, 200]))]
+        for _ in range(random.randint(1, 9)):  # chains of edits: linked through others, not all to the first
+            rows.append((len(rows), " ".join(words)))
+            if len(words) > 20:
+                words = words.copy()
+                words[random.randrange(len(words))] = random.choice(vocabulary)
+    passage = " ".join(random.choice(vocabulary) for _ in range(60))
+    rows += [(len(rows) + k, passage + " " + " ".join(random.choice(vocabulary) for _ in range(20))) for k in range(8)]
+    rows += [(500, None), (501, ""), (502, " \n\t"), (503, "Solo"), (504, "sOLO"), (505, rows[3][1]), (505, rows[3][1]), (None, rows[3][1].upper()),
+             (None, "only without id"), (506, "x " * 30000)]
+    return rows
+
+
+@pytest.mark.parametrize("n,percent", [(3, 90), (5, 80), (2, 50)])
+def test_jaccard_join_matches_brute_force(spark, n, percent):
+    rows = _near_rows()
+    frame = spark.createDataFrame([(*r, *CLASH_ROW) for r in rows], f"doc_id long, text string, {CLASH}")
+    none = lambda r: tuple(-1 if v is None else v for v in r)
+    got = sorted(none((r.doc_id, r.n_shingles, r.component_id)) for r in jaccard.link_components(frame, n, percent).collect())
+    assert got == sorted(map(none, _brute_components(rows, n, percent)))
+
+
+def test_jaccard_keep_one(spark):
+    rows = _near_rows()
+    frame = spark.createDataFrame([(*r, *CLASH_ROW) for r in rows], f"doc_id long, text string, {CLASH}")
+    kept = jaccard.keep_one(frame, 5, 80)
+    assert kept.columns == frame.columns
+    components = _brute_components(rows, 5, 80)
+    expected = sorted({c for d, size, c in components if size and c is not None} | {500, 501, 502})
+    got = [r.doc_id for r in kept.collect()]
+    assert sorted(d for d in got if d is not None) == expected
+    assert got.count(None) == 1  # the group without any id
+    assert jaccard.keep_one(frame.limit(0)).count() == 0
+
+
+# -- 9: chat ---------------------------------------------------------------------
+
+
+def test_chat_round_trip(spark):
+    random.seed(3)
+    bits = ["<|", "|>", chat.END, chat.NEXT, "\\", "b", "l", "p", "é😀", " ", "\n", "<|assistant|>", "user"]
+    rows = []
+    for c in range(50):
+        for t in range(random.randint(1, 9)):
+            turn = random.choice([None, t, t, t, 1])
+            text = None if random.random() < 0.1 else "".join(random.choice(bits) for _ in range(random.randint(0, 8)))
+            rows.append((c or None, turn, random.choice(["user", "assistant", "a|b", None]), text, "x"))
+    rows.append((77, 1, "assistant", "long " * 50000, "x"))
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, turns string")
+    out = chat.read_back(chat.format_conversations(frame)).collect()
+    of = defaultdict(list)
+    for c, t, role, text, _ in rows:
+        of[c].append((-1 if t is None else t, role or "", text or ""))
+    assert len(out) == len(of)
+    for r in out:
+        got = [(t.role, t.text) for t in r.turns]
+        assert Counter(got) == Counter(x[1:] for x in of[r.conv_id])
+        numbers = defaultdict(set)
+        for t, *x in of[r.conv_id]:
+            numbers[tuple(x)].add(t)
+        order = sorted(of[r.conv_id], key=lambda x: x[0])
+        assert all(got[i] in {x[1:] for x in order if x[0] == order[i][0]} for i in range(len(got)))
+        assert r.loss_texts == [text for role, text in got if role == "assistant"]
+    assert chat.format_conversations(frame.limit(0)).count() == 0
+
+
+def test_chat_merges_adjacent_turns(spark):
+    frame = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 2, "assistant", "c<")], "conv_id long, turn long, role string, text string")
+    r = chat.format_conversations(frame).collect()[0]
+    assert r.formatted == "<|user|>a<|+|>b<|end|>\n<|assistant|>c\\l<|end|>\n"
+    assert [r.formatted[s.start : s.end] for s in r.loss_spans] == ["c\\l"]
+
+
+# -- 10: language ----------------------------------------------------------------
+
+
+def test_language_held_out_accuracy(spark, sf0001):
+    out = queries.op10_language(spark, sf0001).join(spark.read.parquet(f"{sf0001}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in out if r.held_out]
+    assert len(out) == 200 and len(held) > 20
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.95
+    assert all(0 <= r.score <= 1 for r in out)
+
+
+def test_language_edges(spark):
+    rows = [(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr"), (3, "der hund und die katze", "de"), (4, None, "en"), (5, "", "fr"),
+            (6, "123 !?", "de"), (7, "the dog", None), (8, "the cat and the dog", "en")]
+    frame = spark.createDataFrame([(*r, "x", 0.5) for r in rows], "doc_id long, text string, lang string, lang_pred string, score double")
+    model = language.train(frame)
+    assert model.languages == ["de", "en", "fr"] and model.code.shape == (3, 3)
+    out = {r.doc_id: r for r in language.predict(frame, model, {"doc_id": "long"}).collect()}
+    assert [out[i].lang_pred for i in range(1, 9)] == ["en", "fr", "de", "und", "und", "und", "en", "en"]
+    assert all(out[i].ambiguous and out[i].score == 0 for i in (4, 5, 6))
+    assert sorted(r.doc_id for r in language.keep_identified(frame, model).collect()) == [1, 2, 3, 7, 8]
+    nothing = language.train(frame.limit(0))
+    assert {r.lang_pred for r in language.predict(frame, nothing, {"doc_id": "long"}).collect()} == {"und"}
+    assert language.predict(frame.limit(0), model, {"doc_id": "long"}).count() == 0
+
+
+def test_long_texts_are_hashed_whole():
+    text = "ab cd " * 40 + "xyz"
+    whole = language.bucket_counts(text)
+    piece, language.PIECE = language.PIECE, 50
+    try:
+        pieces = language.bucket_counts(text)
+    finally:
+        language.PIECE = piece
+    # Overlaps of two code points count a few n-grams twice, none is lost.
+    assert (pieces >= whole).all() and pieces.sum() < whole.sum() * 1.2
+
+
+def test_codewords_correct_errors():
+    for n in (2, 4, 7, 9, 30):
+        code = language.codewords(n)
+        far = min(int((code[i] != code[j]).sum()) for i in range(n) for j in range(i))
+        assert len({tuple(x) for x in code.tolist()}) == n and far >= (1 if n == 2 else 2)
