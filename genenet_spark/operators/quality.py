@@ -42,7 +42,7 @@ def require_columns(df: DataFrame, required: list[str], dataset: str) -> None:
     """Fail listing the missing columns (case-sensitive)."""
     missing = missing_columns(df, required)
     if missing:
-        raise MissingColumnsError(f"[{dataset}] Required columns not found: {', '.join(missing)}")
+        raise MissingColumnsError(f"[{dataset}] table lacks column(s) {', '.join(missing)}")
 
 
 def assert_non_empty(df: DataFrame | None, name: str) -> DataFrame:

@@ -68,7 +68,7 @@ class Params:
     min_community_size: int = 5
     # hypergraph
     hg_min_shared_genes: int = 2
-    hg_connect_traits: bool = True
+    hg_connect_traits: bool = False  # True is refused by hypergraph.links
     hg_connect_layers: bool = True
     hg_min_cluster_size: int = 5
     # cache

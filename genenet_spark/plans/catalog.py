@@ -15,6 +15,7 @@ from genenet_spark.operators import coverage, harmonize, quality
 from genenet_spark.plans import ledger, materialize
 from genenet_spark.plans.present import presentable
 from genenet_spark.sources import fixtures as fx
+from genenet_spark.session import cut_lineage
 from genenet_spark.sources import parquet as pq
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,10 +31,14 @@ def register(name: str):
 
 
 # --------------------------------------------------------------------------- sources
+#: Raised with every change of the adapters, so that no table of an older one is read.
+FIXTURE_VERSION = 2
+
+
 def _stored(spark: SparkSession, sf_dir: str, dataset: str) -> str:
     """Write the dataset once as a Parquet directory (M1) and return its path."""
     tables = [f"{sf_dir}/{t}.parquet" for t in fx.TABLES]
-    key = materialize.cache_key("fixture", dataset, inputs=tables, spark=spark)
+    key = materialize.cache_key("fixture", dataset, FIXTURE_VERSION, inputs=tables, spark=spark)
     materialize.materialize(spark, key, lambda: fx.BUILDERS[dataset](spark, sf_dir))
     return f"{materialize.table_root(spark)}/{key}"
 
@@ -120,8 +125,8 @@ MULTILAYER = DEFAULTS.with_(layers={name: (True, 1.0) for name in LAYERS})
 AREA_SELECTION = MULTILAYER.with_(
     traits_use_all=False, traits_areas=("AUTOMOBILE", "MACHINERY"), traits_exclude=("EFO_001_AU",)
 )
-PROPAGATION_ITERATIONS = 10
-HUB_ITERATIONS = 20
+# Tighter than the default 1e-6: ranks are printed with six decimals, and the L1 change bounds all genes of a key together.
+PROPAGATION_TOL = 1e-10
 
 
 def network_inputs(spark: SparkSession, sf_dir: str, params=MULTILAYER):
@@ -210,30 +215,32 @@ def q_rank_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("propagate")
 def q_propagate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personalised PageRank from the seed scores, fixed 10 iterations."""
+    """Personalised PageRank from the seed scores, to the fixed point at the printed precision."""
     _, graph, layers = network_inputs(spark, sf_dir)
-    seeds = network.seed_scores(layers, graph, MULTILAYER)
-    return presentable(iterative.propagate(graph, seeds, MULTILAYER, max_iter=PROPAGATION_ITERATIONS, tol=0.0))
+    graph = cut_lineage(graph)
+    seeds = cut_lineage(network.seed_scores(layers, graph, MULTILAYER))
+    return presentable(iterative.propagate(graph, seeds, MULTILAYER, max_iter=200, tol=PROPAGATION_TOL))
 
 
 @register("hub_score")
 def q_hub_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D3: HITS hub score, 20 power iterations."""
+    """D3: HITS hub score, iterated until it is stable."""
     _, graph, _ = network_inputs(spark, sf_dir)
-    return presentable(iterative.hub_score(graph, iterations=HUB_ITERATIONS))
+    return presentable(iterative.hub_score(cut_lineage(graph)))
 
 
 @register("coreness")
 def q_coreness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K-core number of every graph gene (iterated until stable)."""
     _, graph, _ = network_inputs(spark, sf_dir)
-    return iterative.coreness(graph)
+    return iterative.coreness(cut_lineage(graph))
 
 
 def clustered(spark: SparkSession, sf_dir: str):
     """C1 on every (trait, layer) gene set restricted to the graph."""
     _, graph, layers = network_inputs(spark, sf_dir)
-    on_graph = layers.join(network.graph_nodes(graph), "gene_id", "left_semi")
+    graph = cut_lineage(graph)
+    on_graph = cut_lineage(layers.join(network.graph_nodes(graph), "gene_id", "left_semi"))
     comms = iterative.communities(graph, on_graph, MULTILAYER)
     return graph, on_graph, comms
 
@@ -283,7 +290,6 @@ def q_hyperedge_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_global_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: per trait ranked genes, communities, significant communities, top gene."""
     _, on_graph, comms = clustered(spark, sf_dir)
-    integ = analysis.integrate_layers(analysis.normalize_layers(on_graph, MULTILAYER), MULTILAYER)
-    ranking = analysis.rank_genes(integ, MULTILAYER)
+    ranking = analysis.rank_genes(analysis.integrate_layers(_normed(spark, sf_dir), MULTILAYER), MULTILAYER)
     sig = significance.permutation_test(on_graph, comms, MULTILAYER)
     return analysis.global_summary(ranking, comms, sig)

@@ -11,6 +11,8 @@ from __future__ import annotations
 # Unrolled rounds for the coreness oracle: more than the rounds Spark needs to
 # reach the fixed point on these graphs; extra rounds leave a fixed point unchanged.
 CORE_ROUNDS = 40
+# Likewise for ranks (0.85 ** 150 is below 1e-10) and hub scores (20 and 80 rounds print the same).
+PPR_ROUNDS, HUB_ROUNDS = 150, 40
 
 
 def ENS(x: str) -> str:
@@ -90,13 +92,13 @@ SELECT {ENS('l_partkey')} AS id,
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
      JOIN region ON n_regionkey = r_regionkey"""),
     "diseases": ([], f"""
-SELECT {DIS_NOTNULL} AS id, concat(c_mktsegment, ' ', n_name) AS name,
+SELECT CASE WHEN c_nationkey < 22 THEN {DIS_NOTNULL} ELSE concat('OBSOLETE_', {DIS_NOTNULL}) END AS id, concat(c_mktsegment, ' ', n_name) AS name,
        concat('desc ', c_mktsegment) AS description, [c_mktsegment] AS therapeuticAreas,
        [concat('MONDO_', CAST(n_regionkey AS VARCHAR))] AS parents,
        [concat('MONDO_', CAST(n_regionkey AS VARCHAR))] AS ancestors,
        CAST([] AS VARCHAR[]) AS children, [lower(c_mktsegment)] AS synonyms
 FROM (SELECT DISTINCT c_nationkey, c_mktsegment, n_name, n_regionkey
-      FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_nationkey < 22)
+      FROM customer JOIN nation ON c_nationkey = n_nationkey)
 UNION ALL
 SELECT concat('MONDO_', CAST(r_regionkey AS VARCHAR)), r_name, CAST(NULL AS VARCHAR),
        CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]),
@@ -303,7 +305,7 @@ SELECT {_bigint("count(DISTINCT CASE WHEN status = 'ok' THEN trait_id END)", 'n_
        round(sum(tiempo_s), 6) AS tiempo_total,
        {_bigint("count(DISTINCT trait_id) - count(DISTINCT CASE WHEN status = 'ok' THEN trait_id END)", 'n_err')}
 FROM ledger""")
-    q.update(NET_ORACLE(10, 0.15, 20, CORE_ROUNDS))
+    q.update(NET_ORACLE(PPR_ROUNDS, 0.15, HUB_ROUNDS, CORE_ROUNDS))
     q["ledger_eta"] = with_ctes(["ledger"], """
 SELECT rn, trait_id, status, mean_recent_s, n - rn AS remaining,
        CASE WHEN n - rn <= 0 THEN NULL ELSE round(mean_recent_s * (n - rn), 4) END AS eta_s

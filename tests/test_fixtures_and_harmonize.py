@@ -24,7 +24,7 @@ def test_adapter_row_counts(raw):
     assert raw["gwas_common"].count() == 4032
     assert raw["gwas_rare"].count() == 1968
     assert raw["expression"].count() == 6000
-    assert raw["diseases"].count() == 89
+    assert raw["diseases"].count() == 98
 
 
 def test_harmonised_counts(harm):

@@ -3,6 +3,7 @@
 import os
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from genenet_spark.plans import ledger, materialize, sinks
@@ -71,6 +72,37 @@ def test_partitioned_sink_layout(spark, tmp_path):
     assert back.count() == 2 and set(back.columns) >= {"run_id", "trait_id", "capa"}
 
 
+def test_runs_are_exported_side_by_side(spark, tmp_path):
+    def frame(score):
+        return spark.createDataFrame([("t1", "gwas_comun", "g1", score), ("t2", "expresion", "g2", score)],
+                                     "trait_id string, capa string, gene_id string, score double")
+
+    for run, score in (("a", 1.0), ("b", 2.0), ("b", 3.0)):  # the second b replaces the first
+        paths = sinks.export_all({"genes_ranking": frame(score), "resumen_global": frame(score)}, str(tmp_path), run)
+    back = spark.read.parquet(paths["genes_ranking"])
+    assert sorted((r.run_id, r.gene_id, r.score) for r in back.collect()) == [
+        ("a", "g1", 1.0), ("a", "g2", 1.0), ("b", "g1", 3.0), ("b", "g2", 3.0)]
+    with pytest.raises(ValueError):
+        sinks.export_all({"unknown": frame(1.0)}, str(tmp_path), "a")
+
+
+def test_stored_tables_expire(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    materialize.materialize(spark, "k", lambda: spark.range(3), root=root)
+    assert materialize.exists(spark, "k", root, max_age_days=1.0)
+    done = os.path.join(root, "k", "_SUCCESS")
+    os.utime(done, (1_000_000_000, 1_000_000_000))
+    assert not materialize.exists(spark, "k", root, max_age_days=1.0)
+    assert materialize.exists(spark, "k", root)
+
+
+def test_eta_over_small_buckets(spark, sf0001):
+    led = fx.trait_ledger(spark, sf0001)
+    whole, small = (sorted(map(tuple, ledger.eta(led, bucket=b).collect())) for b in (4096, 10))
+    assert [r[0] for r in small] == [r[0] for r in whole]
+    assert all(a == b or abs(a[3] - b[3]) < 1e-6 for a, b in zip(small, whole))
+
+
 def test_streaming_ledger_matches_batch(spark, tmp_path, sf0001):
     led = fx.trait_ledger(spark, sf0001).select(*ledger.TRAIT_LEDGER_SCHEMA.fieldNames())
     src = str(tmp_path / "ledger")
