@@ -28,6 +28,29 @@ def _regular(part: str) -> bool:
     return bool(part) and len(part.strip()) == len(part)
 
 
+def bare_chunks(text: str) -> list[str]:
+    """The words between white space.
+
+    The four information separators are white space for Python but not for a tokenizer; a text that holds one
+    is a single chunk.
+    """
+    return [text] if any(s in text for s in _SEPARATORS) else text.split()
+
+
+#: White space at an end of a text or beside one of its spaces: a plain split at spaces is no safe cut there.
+_UNEVEN = re.compile(r"\A\s|\s\Z| \s|\s ")
+
+
+def space_parts(text: str) -> list[str]:
+    """The chunks of a text for a byte-level tokenizer, all but the first without their leading space."""
+    if not text:
+        return []
+    if not _UNEVEN.search(text):
+        return text.split(" ")
+    head, *rest = _CUT.split(text)
+    return [head, *(c[1:] for c in rest)]
+
+
 class ChunkMemo:
     """``compute`` of every chunk of many texts, called once a batch for the distinct misses.
 
@@ -41,12 +64,17 @@ class ChunkMemo:
         self.compute, self.leading_space, self.entries = compute, leading_space, entries
         self.inner: dict[str, object] = {}  # value of " " + part (of part itself without leading spaces)
         self.first: dict[str, object] = {}  # value of a part that begins its text
+        self.seeded = 0
+
+    def seed(self, values: dict[str, object]) -> None:
+        """Values of frequent parts, known beforehand; they don't count against ``entries``."""
+        before = len(self.inner)
+        self.inner.update((k, v) for k, v in values.items() if not self.leading_space or _regular(k))
+        self.seeded += len(self.inner) - before
 
     def _parts(self, text: str) -> tuple[list[str], list[object]]:
         if not self.leading_space:
-            # The four information separators are white space for Python but not for
-            # the tokenizer; a text that holds one is a single chunk.
-            parts = [text] if any(s in text for s in _SEPARATORS) else text.split()
+            parts = bare_chunks(text)
             return parts, list(map(self.inner.get, parts))
         if not text:
             return [], []
@@ -87,7 +115,7 @@ class ChunkMemo:
                     first[parts[0]] = None
             out.append(found)
         if waiting:
-            self._compute(inner, " " if self.leading_space else "", self.inner, self.entries)
+            self._compute(inner, " " if self.leading_space else "", self.inner, self.entries + self.seeded)
             if self.leading_space:
                 self._compute(first, "", self.first, self.entries // 8)
             for parts, found, gaps in waiting:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -32,7 +33,24 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*frozen: DataFrame) -> None:
+    """Delete stored tables that no frame is read from any more."""
+    for df in frozen:
+        remove_tree(df.sparkSession, df._scratch)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner see that the shuffle files of finished jobs are needed no more.
+
+    It acts on garbage collection, which a driver with little garbage puts off while executors' disks fill up.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def remove_tree(spark: SparkSession, path: str) -> None:
@@ -67,3 +85,16 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable
     """``mapInArrow`` with a function of this package."""
     ship_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
+
+
+def least_count(counts: DataFrame, most: int) -> int:
+    """The least count whose rows, with all of greater count, are at most ``most``; from a histogram of count classes."""
+    # Classes of about 9 % width: a few hundred rows whatever the corpus.
+    histogram = counts.groupBy(F.floor(F.log2("n") * 8).cast("int").alias("c")).agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("low"))
+    least, total = 1 << 62, 0
+    for r in sorted(histogram.collect(), key=lambda r: -r["c"]):
+        total += r["k"]
+        if total > most:
+            break
+        least = r["low"]
+    return least

@@ -58,6 +58,7 @@ class Library:
                 rule = _cut_rule(json.load(f))
             self.n_ids = max(model.get_vocab(with_added_tokens=True).values()) + 1
         self._id_memo = self._count_memo = None
+        self._seeds: set = set()
         if rule != "none":
             self._id_memo = ChunkMemo(self._bytes, rule == "space")
             self._count_memo = ChunkMemo(lambda texts: map(len, self._encode(texts)), rule == "space")
@@ -71,6 +72,21 @@ class Library:
             return self._bytes(texts)
         return [b"".join(found) for found in self._id_memo.values(texts)]
 
+    @property
+    def splits_words(self) -> bool:
+        """Whether the ids of a text are those of its words between white space, one after the other."""
+        return self._id_memo is not None and not self._id_memo.leading_space
+
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words that white space separates, without the memo."""
+        return self._bytes(words)
+
+    def seed(self, name: object, word_ids: dict[str, bytes]) -> None:
+        """Take over the ids of frequent words, once for each ``name``."""
+        if name not in self._seeds:
+            self._seeds.add(name)
+            self._id_memo.seed(word_ids)
+
     def counts(self, texts: list[str]) -> list[int]:
         if self._count_memo is None:
             return list(map(len, self._encode(texts)))
