@@ -7,18 +7,21 @@ among the first ``size - ceil(threshold * size) + 1`` of each, the prefix.
 1. Documents of equal sets are one class.
 2. Classes with identical prefix and size are one group; the prefix index holds
    groups, not documents.
-3. Star round: per prefix value one pivot group is paired with the others, and per
-   group its first class with the others. Groups whose sizes can't fit are
-   filtered; the remaining pairs are filtered by parity bitmaps and verified.
-4. Full round: for prefix values (and groups) whose members are not yet in one
-   component, the pairs of groups of different components are formed, expanded to
-   their member classes, filtered and verified. Pairs inside a component need no
-   check: they can't change the result.
+3. Star round: per prefix value one pivot group is paired with the others by their
+   first classes, and per group its first class with the other members. Pairs whose
+   sizes can't fit are filtered; the rest is filtered by parity bitmaps and verified,
+   each class's best pair first. Links join components.
+4. Full round: prefix values (and groups) whose members are still in several
+   components are worked in full: all members of a list are compared by bitmap, in
+   blocks, across components. What passes is expanded to pairs and verified. Pairs
+   inside a component need no check: they can't change the result.
 
 Each linked pair shares a prefix value or a group, so it is verified or already
-joined: no link is lost, and a large group of near copies costs its size, not its
-square. Filters are sound: the symmetric difference of two sets is at least the
-number of differing bits of their parity bitmaps.
+joined: no link is lost. A row is a candidate pair only if it passes the bitmap, which
+is nearly exact for common sizes, so lists of unlike documents make no rows and a
+large group of near copies makes about as many rows as it has members. Filters are
+sound: the symmetric difference of two sets is at least the number of differing bits
+of their parity bitmaps.
 
 The global order puts frequent shingles last, so that a passage shared by many
 documents is hardly ever in a prefix. The order only changes the cost: it is
@@ -35,11 +38,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genenet_spark.llm.common import freeze, map_batches
+from genenet_spark.llm.common import discard, free_shuffles, freeze, map_batches
 from genenet_spark.llm.components import components
 
 #: Frequent values that the global order knows; a task reports at most as many.
 FREQUENT = 50_000
+#: The full round compares lists in blocks of so many classes.
+BLOCK = 4096
+#: Rounds of verification: best pairs, best pairs of what is left, all that are left.
+VERIFY_ROUNDS = 3
+#: Keys of candidate texts that are broadcast at most: 16 MB.
+BROADCAST_KEYS = 2_000_000
 #: Bits of the parity bitmap of a set.
 BITMAP = 1024
 
@@ -135,9 +144,6 @@ def _signatures(n: int, percent: int, frequent):
     return run
 
 
-_ONES = np.array([bin(i).count("1") for i in range(256)], np.uint16)
-
-
 def _may_link(percent: int):
     """Keep pairs whose bitmaps allow the threshold: |A xor B| >= differing parity bits."""
 
@@ -146,12 +152,78 @@ def _may_link(percent: int):
             col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             if not batch.num_rows:
                 continue
-            bits = [np.frombuffer(b"".join(col[c].to_pylist()), np.uint8).reshape(-1, BITMAP // 8) for c in ("bits_a", "bits_b")]
-            differ = _ONES[bits[0] ^ bits[1]].sum(axis=1).astype(np.int64)
+            bits = [np.frombuffer(b"".join(col[c].to_pylist()), np.uint64).reshape(-1, BITMAP // 64) for c in ("bits_a", "bits_b")]
+            differ = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
             total = col["n_a"].to_numpy().astype(np.int64) + col["n_b"].to_numpy()
             # J >= t  iff  |A xor B| <= (1 - t) / (1 + t) * (|A| + |B|)
             keep = pa.array(differ * (100 + percent) <= (100 - percent) * total)
-            yield pa.RecordBatch.from_arrays([col[c].filter(keep) for c in ("a", "b", "key_a", "key_b")], names=["a", "b", "key_a", "key_b"])
+            share = pa.array(differ / total)
+            yield pa.RecordBatch.from_arrays([*(col[c].filter(keep) for c in ("a", "b", "key_a", "key_b")), share.filter(keep)],
+                                             names=["a", "b", "key_a", "key_b", "share"])
+
+    return run
+
+
+def _compare(percent: int):
+    """Pairs of different components inside each list ``(value, i, j)`` that sizes and bitmaps allow.
+
+    Rows come sorted by list, then size. A list with i = j is compared within itself, else its block i with block j.
+    """
+
+    def fits(mask: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        differ = np.bitwise_count(mask[a] ^ mask[b]).sum(axis=-1, dtype=np.int32)
+        return differ * (100 + percent) <= (100 - percent) * (n[a] + n[b])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+
+        def worked(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            table = table.combine_chunks()
+            key = np.stack([table.column(i).to_numpy().astype(np.int64) for i in range(3)], axis=1)
+            sets, n = table.column(3), table.column(4).to_numpy()
+            comp = table.column(5).combine_chunks().dictionary_encode().indices.to_numpy()
+            block = table.column(6).to_numpy()
+            mask = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint64).reshape(-1, BITMAP // 64)
+            start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
+            size = np.diff(np.append(start, len(key)))
+            for m in np.unique(size[(size > 1) & (size <= 64)]).tolist():  # short lists of one length together
+                heads = start[size == m]
+                one, two = np.triu_indices(m, 1)
+                step = max(1, 200_000 // len(one))
+                for at in range(0, len(heads), step):
+                    h = heads[at : at + step, None]
+                    yield from passed(sets, n, comp, block, mask, key, (h + one).ravel(), (h + two).ravel())
+            for head, m in zip(start[size > 64].tolist(), size[size > 64].tolist()):
+                last = head + np.searchsorted(n[head : head + m], n[head : head + m] * 100 // percent, side="right")  # sizes that fit
+                for row in range(head, head + m):
+                    two = np.arange(row + 1, int(last[row - head]))
+                    yield from passed(sets, n, comp, block, mask, key, np.full(len(two), row), two)
+
+        def passed(sets, n, comp, block, mask, key, a, b) -> Iterator[pa.RecordBatch]:
+            ok = (comp[a] != comp[b]) & (n[b] * percent <= n[a] * 100) & ((key[a, 1] == key[a, 2]) | (block[a] != block[b]))
+            a, b = a[ok], b[ok]
+            ok = fits(mask, n, a, b)
+            if ok.any():
+                left, right = (sets.take(pa.array(x[ok])).combine_chunks() for x in (a, b))
+                yield pa.RecordBatch.from_arrays([left, right], names=["a", "b"])
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if rest is not None:
+                table = pa.concat_tables([rest, table])
+            if not table.num_rows:
+                continue
+            # The last list of a batch may go on in the next one.
+            last = [table.column(i)[-1].as_py() for i in range(3)]
+            same = np.ones(table.num_rows, bool)
+            for i in range(3):
+                same &= table.column(i).to_numpy() == last[i]
+            cut = int(np.argmax(same))
+            if cut:
+                yield from worked(table.slice(0, cut))
+            rest = table.slice(cut)
+        if rest is not None and rest.num_rows:
+            yield from worked(rest)
 
     return run
 
@@ -178,11 +250,11 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
 
 
 def link_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, links`` for each input row.
+    """``doc_id, n_shingles, component_id, verified_links`` for each input row.
 
     ``component_id`` is the smallest id reachable by links (100 * intersection >= ``percent`` * union), the
-    row's own included; ``links`` counts the verified links of the row's class to classes of other sets, in
-    the star round and the full round.
+    row's own included; ``verified_links`` counts the links of the row's class to classes of
+    other sets that were checked: enough to span every component, not all links inside a group of near copies.
 
     Cases: null texts and texts without words have an empty set, no link and their own id as component; a text
     of fewer than ``n`` words is one shingle; rows of equal sets link whatever their ids; repeated rows are
@@ -192,7 +264,7 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     signed, label = _labelled(docs, n, percent, id_col, text_col)
     return signed.select("doc_id", F.col("n").alias("n_shingles"), "set").join(label, "set", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+        F.coalesce("links", F.lit(0)).cast("long").alias("verified_links"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -233,49 +305,49 @@ def _labelled(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str)
                                 "prefix array<bigint>, grp long, bits binary"), "signatures")
     classes = signed.where("n > 0").groupBy("set").agg(
         F.first("n").alias("n"), F.min("doc_id").alias("least"), F.min("text_key").alias("key"), F.first("grp").alias("grp"),
-        F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
+        F.first("bits").alias("bits"))
     classes = freeze(classes, "classes")
-    groups = classes.groupBy("grp", "n").agg(F.min("set").alias("head"), F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("members"))
-    groups = freeze(groups, "groups")
+    groups = freeze(classes.groupBy("grp", "n").agg(F.min("set").alias("head"), F.count(F.lit(1)).alias("members")), "groups")
 
     # The prefix index: values that two groups or more have.
-    posts = groups.select(F.explode("prefix").alias("value"), "grp", "n", "head")
-    shared = groups.select(F.explode("prefix").alias("value"), F.struct("grp", "n", "head").alias("g")).groupBy("value").agg(
-        F.count(F.lit(1)).alias("k"), F.min(F.struct("g.grp", "g.n")).alias("pivot")).where("k > 1")
-    index = freeze(posts.select("value", "grp", "n").join(shared, "value").select("value", "grp", "n", "pivot"), "index")
+    prefixes = freeze(signed.where("n > 0").select("grp", "n", "prefix").dropDuplicates(["grp", "n"]), "prefixes")
+    posts = prefixes.select(F.explode("prefix").alias("value"), "grp", "n")
+    shared = posts.groupBy("value").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("value")
+    index = freeze(posts.join(shared, "value", "left_semi"), "index")
+    discard(prefixes)
+    free_shuffles(spark)
+    pivot = index.groupBy("value").agg(F.min(F.struct("grp", "n")).alias("pivot"))
 
     head = groups.select("grp", "n", "head")
-    star = index.where((F.col("grp") != F.col("pivot.grp")) | (F.col("n") != F.col("pivot.n"))).where(
+    star = index.join(pivot, "value").where((F.col("grp") != F.col("pivot.grp")) | (F.col("n") != F.col("pivot.n"))).where(
         _sizes_fit(F.col("n"), F.col("pivot.n"), percent)).select("grp", "n", "pivot").distinct()
     star = star.join(head, ["grp", "n"]).select("pivot", F.col("head").alias("b")).join(
         head.select(F.struct("grp", "n").alias("pivot"), F.col("head").alias("a")), "pivot").select("a", "b")
     inside = classes.join(groups.where("members > 1").select("grp", "n", "head"), ["grp", "n"]).where(
         F.col("set") != F.col("head")).select(F.col("head").alias("a"), F.col("set").alias("b"))
-    first = freeze(_links(rows, classes, star.unionByName(inside), n, percent), "links")
-    comp = components(first)
+    found: list[DataFrame] = []
+    _joined(rows, classes, star.unionByName(inside), found, n, percent)
+    comp = components(_union(found)) if found else classes.select(F.col("set").alias("node"), F.col("set").alias("comp")).limit(0)
 
-    # Groups with the components of their members; a class without links is its own component.
+    # Lists of classes by prefix value, and by group where a group has several; a class without links is its own component.
     member = classes.select("set", "grp", "n").join(comp.withColumnRenamed("node", "set"), "set", "left").select(
         "set", "grp", "n", F.coalesce("comp", "set").alias("comp"))
-    member = freeze(member, "members")
-    parts = member.select("grp", "n", "comp").distinct()
-    placed = index.select("value", "grp", "n").join(parts, ["grp", "n"])
-    split = parts.join(groups.where("members > 1").select("grp", "n"), ["grp", "n"], "left_semi")
-    placed = placed.unionByName(split.select(F.xxhash64("grp", "n", F.lit("group")).alias("value"), "grp", "n", "comp"))
-    mixed = placed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("value")
-    placed = freeze(placed.join(mixed, "value", "left_semi"), "open")
-    left = placed.select("value", *[F.col(c).alias(f"{c}_a") for c in ("grp", "n", "comp")])
-    right = placed.select("value", *[F.col(c).alias(f"{c}_b") for c in ("grp", "n", "comp")])
-    fit = (F.col("comp_a") < F.col("comp_b")) & _sizes_fit(F.col("n_a"), F.col("n_b"), percent)
-    met = left.join(right, (left["value"] == right["value"]) & fit).drop("value").distinct()
-    of_a = member.select(F.col("set").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("grp", "n", "comp")])
-    of_b = member.select(F.col("set").alias("b"), *[F.col(c).alias(f"{c}_b") for c in ("grp", "n", "comp")])
-    pairs = met.join(of_a, ["grp_a", "n_a", "comp_a"]).join(of_b, ["grp_b", "n_b", "comp_b"]).select("a", "b")
-    second = freeze(_links(rows, classes, pairs, n, percent), "links")
-    if not second.isEmpty():
-        comp = components(first.unionByName(second))
-
-    every = first.unionByName(second)
+    placed = index.select("value", "grp", "n").join(member, ["grp", "n"]).unionByName(
+        member.join(groups.where("members > 1").select("grp", "n"), ["grp", "n"], "left_semi").select(
+            F.xxhash64("grp", "n", F.lit("group")).alias("value"), "grp", "n", "set", "comp"))
+    placed = freeze(_open(placed.select("value", "set", "n", "comp")), "open")
+    discard(index)
+    free_shuffles(spark)
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("set", F.lit("block")), F.col("blocks")).cast("int")
+    worked = placed.withColumn("blocks", blocks).withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    worked = worked.select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "set", "n", "comp", "block")
+    worked = worked.join(classes.select("set", "bits"), "set").select("value", "i", "j", "set", "n", "comp", "block", "bits")
+    worked = worked.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j", "n")
+    _joined(rows, classes, map_batches(worked, _compare(percent), "a binary, b binary"), found, n, percent)
+    discard(placed)
+    every = _union(found) if found else classes.select(F.col("set").alias("a"), F.col("set").alias("b")).limit(0)
+    comp = components(every)
     degree = every.select(F.col("a").alias("set")).unionAll(every.select("b")).groupBy("set").agg(F.count(F.lit(1)).alias("links"))
     known = classes.select("set", "least").join(comp.withColumnRenamed("node", "set"), "set", "left").withColumn("comp", F.coalesce("comp", "set"))
     lowest = known.groupBy("comp").agg(F.min("least").alias("component_id"))
@@ -283,18 +355,69 @@ def _labelled(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str)
     return signed, freeze(label.select("set", "comp", "component_id", F.coalesce("links", F.lit(0)).alias("links")), "labels")
 
 
-def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs of classes ``a, b`` that are links."""
+def _union(links: list[DataFrame]) -> DataFrame:
+    out = links[0]
+    for more in links[1:]:
+        out = out.unionByName(more)
+    return out.distinct()
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """The lists that are in several components, with their number of members."""
+    several = placed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("members"))
+    return placed.join(several.where("lo <> hi").select("value", "members"), "value")
+
+
+def _joined(rows: DataFrame, classes: DataFrame, pairs: DataFrame, found: list[DataFrame], n: int, percent: int) -> None:
+    """Verify pairs of classes until every one is a link, no link, or inside a component; add the links to ``found``.
+
+    First every class's most promising pair is verified, as in Boruvka's spanning trees: that joins most of a
+    group of near copies with as many checks as it has members. Pairs that are then still between components
+    are treated the same way once more; the last round verifies all that are left.
+    """
+    spark = rows.sparkSession
     side = classes.select("set", "n", "bits", "key")
     known = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     for c in ("a", "b"):
         known = known.join(side.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"),
                                        F.col("key").alias(f"key_{c}")), c)
-    may = freeze(map_batches(known.select("a", "b", "n_a", "n_b", "bits_a", "bits_b", "key_a", "key_b"), _may_link(percent),
-                             "a binary, b binary, key_a long, key_b long"), "candidates")
-    wanted = may.select(F.col("key_a").alias("text_key")).union(may.select("key_b")).distinct()
+    todo = freeze(map_batches(known.select("a", "b", "n_a", "n_b", "bits_a", "bits_b", "key_a", "key_b"), _may_link(percent),
+                              "a binary, b binary, key_a long, key_b long, share double"), "candidates")
+    free_shuffles(spark)
+    for turn in range(VERIFY_ROUNDS):
+        if todo.isEmpty():
+            break
+        now = todo
+        if turn < VERIFY_ROUNDS - 1:
+            pair = F.struct("share", "a", "b", "key_a", "key_b").alias("p")
+            best = todo.select(F.col("a").alias("v"), pair).unionAll(todo.select(F.col("b").alias("v"), pair)).groupBy("v").agg(F.min("p").alias("p"))
+            now = freeze(best.select("p.a", "p.b", "p.key_a", "p.key_b").distinct(), "chosen")
+        links = _verified(rows, now, n, percent)
+        found.append(links)
+        if turn == VERIFY_ROUNDS - 1:
+            break
+        comp = components(_union(found))
+        left = todo.join(now.select("a", "b"), ["a", "b"], "left_anti")
+        for c in ("a", "b"):
+            left = left.join(comp.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}")), c, "left")
+        left = left.where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select(*todo.columns)
+        old, todo = todo, freeze(left, "candidates")
+        discard(old, now)
+        free_shuffles(spark)
+
+
+def _verified(rows: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose texts are links."""
+    spark = rows.sparkSession
+    wanted = freeze(pairs.select(F.col("key_a").alias("text_key")).union(pairs.select("key_b")).distinct(), "wanted")
+    if wanted.count() <= BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)  # 8 bytes each; beyond the bound it is a shuffled join
     texts = rows.select("text_key", "text").join(wanted, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
     texts = freeze(texts, "texts")
-    both = may.join(texts.withColumnRenamed("text_key", "key_b").withColumnRenamed("text", "text_b"), "key_b")
+    free_shuffles(spark)
+    both = pairs.join(texts.withColumnRenamed("text_key", "key_b").withColumnRenamed("text", "text_b"), "key_b")
     both = both.join(texts.withColumnRenamed("text_key", "key_a").withColumnRenamed("text", "text_a"), "key_a")
-    return map_batches(both.select("a", "b", "text_a", "text_b"), _verify(n, percent), "a binary, b binary")
+    links = freeze(map_batches(both.select("a", "b", "text_a", "text_b"), _verify(n, percent), "a binary, b binary"), "links")
+    discard(texts)
+    free_shuffles(spark)
+    return links
