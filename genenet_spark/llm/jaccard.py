@@ -164,15 +164,20 @@ def _may_link(percent: int):
     return run
 
 
-def _compare(percent: int):
+def _compare(percent: int, best: bool):
     """Pairs of different components inside each list ``(value, i, j)`` that sizes and bitmaps allow.
 
     Rows come sorted by list, then size. A list with i = j is compared within itself, else its block i with block j.
+    With ``best``, only the most promising pair of each class of a list: no more rows than the list has.
     """
 
-    def fits(mask: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        differ = np.bitwise_count(mask[a] ^ mask[b]).sum(axis=-1, dtype=np.int32)
-        return differ * (100 + percent) <= (100 - percent) * (n[a] + n[b])
+    def chosen(a: np.ndarray, b: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """Places of the pairs that are the best of either end."""
+        end, place = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
+        order = np.lexsort((place, share[place], end))
+        first = np.ones(len(order), bool)
+        first[1:] = end[order][1:] != end[order][:-1]
+        return np.unique(place[order][first])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -202,9 +207,16 @@ def _compare(percent: int):
         def passed(sets, n, comp, block, mask, key, a, b) -> Iterator[pa.RecordBatch]:
             ok = (comp[a] != comp[b]) & (n[b] * percent <= n[a] * 100) & ((key[a, 1] == key[a, 2]) | (block[a] != block[b]))
             a, b = a[ok], b[ok]
-            ok = fits(mask, n, a, b)
+            differ = np.bitwise_count(mask[a] ^ mask[b]).sum(axis=-1, dtype=np.int32)
+            ok = differ * (100 + percent) <= (100 - percent) * (n[a] + n[b])
             if ok.any():
-                left, right = (sets.take(pa.array(x[ok])).combine_chunks() for x in (a, b))
+                a, b, differ = a[ok], b[ok], differ[ok]
+                if best:
+                    share = differ / (n[a] + n[b])
+                    # Of a long list one row comes at a time: its best pair alone, or every partner's only pair would count.
+                    pick = chosen(a, b, share) if a[0] != a[-1] else np.array([np.argmin(share)])
+                    a, b = a[pick], b[pick]
+                left, right = (sets.take(pa.array(x)).combine_chunks() for x in (a, b))
                 yield pa.RecordBatch.from_arrays([left, right], names=["a", "b"])
 
         for batch in batches:
@@ -338,13 +350,23 @@ def _labelled(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str)
     placed = freeze(_open(placed.select("value", "set", "n", "comp")), "open")
     discard(index)
     free_shuffles(spark)
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("set", F.lit("block")), F.col("blocks")).cast("int")
-    worked = placed.withColumn("blocks", blocks).withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    worked = worked.select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "set", "n", "comp", "block")
-    worked = worked.join(classes.select("set", "bits"), "set").select("value", "i", "j", "set", "n", "comp", "block", "bits")
-    worked = worked.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j", "n")
-    _joined(rows, classes, map_batches(worked, _compare(percent), "a binary, b binary"), found, n, percent)
+    for best in (True, False):  # the first pass joins most of a group of near copies, the second one is complete
+        blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+        own = F.pmod(F.xxhash64("set", F.lit("block")), F.col("blocks")).cast("int")
+        worked = placed.withColumn("blocks", blocks).withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        worked = worked.select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "set", "n", "comp", "block")
+        worked = worked.join(classes.select("set", "bits"), "set").select("value", "i", "j", "set", "n", "comp", "block", "bits")
+        worked = worked.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j", "n")
+        before = len(found)
+        _joined(rows, classes, map_batches(worked, _compare(percent, best), "a binary, b binary"), found, n, percent)
+        if len(found) == before and best:
+            break  # no pair at all passes the bitmaps
+        if best:
+            new = components(_union(found)).select(F.col("node").alias("set"), F.col("comp").alias("joined"))
+            moved = placed.join(new, "set", "left").select("value", "set", "n", F.coalesce("joined", "comp").alias("comp"))
+            old, placed = placed, freeze(_open(moved), "open")
+            discard(old)
+            free_shuffles(spark)
     discard(placed)
     every = _union(found) if found else classes.select(F.col("set").alias("a"), F.col("set").alias("b")).limit(0)
     comp = components(every)

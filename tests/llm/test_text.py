@@ -252,3 +252,41 @@ def test_codewords_correct_errors():
         code = language.codewords(n)
         far = min(int((code[i] != code[j]).sum()) for i in range(n) for j in range(i))
         assert len({tuple(x) for x in code.tolist()}) == n and far >= (1 if n == 2 else 2)
+
+
+def test_lists_are_compared_whole_and_the_first_pass_is_linear():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+
+    def bits(s):
+        held = np.bincount((s >> np.uint64(17)).astype(np.int64) & (jaccard.BITMAP - 1), minlength=jaccard.BITMAP) & 1
+        return np.packbits(held.astype(np.uint8)).tobytes()
+
+    rows = []
+    for value, members in ((1, 2), (2, 3), (3, 150), (4, 65), (5, 64), (6, 1), (7, 5)):
+        base, sets = rng.integers(0, 2**63, 120).astype(np.uint64), []
+        for _ in range(members):
+            s, changed = base.copy(), rng.integers(0, 8)
+            s[rng.integers(0, 120, changed)] = rng.integers(0, 2**63, changed).astype(np.uint64)
+            sets.append(np.unique(s))
+        for k, s in enumerate(sorted(sets, key=len)):
+            rows.append((value, 0, 0, f"{value}-{k}".encode(), len(s), f"c{rng.integers(0, 7)}".encode(), 0, bits(s)))
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+
+    def batches(size):
+        for at in range(0, len(rows), size):
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows[at : at + size]], t) for c, t in enumerate(types)], names=list("abcdefgh"))
+
+    expected = set()
+    for x, a in enumerate(rows):
+        for b in rows[x + 1 :]:
+            if a[0] == b[0] and a[5] != b[5]:
+                differ = sum(bin(p ^ q).count("1") for p, q in zip(a[7], b[7]))
+                if differ * 190 <= 10 * (a[4] + b[4]) and min(a[4], b[4]) * 100 >= 90 * max(a[4], b[4]):
+                    expected.add((a[3], b[3]))
+    for size in (1000, 37, 7):  # lists cross the batches
+        for best in (False, True):
+            got = [p for t in jaccard._compare(90, best)(batches(size)) for p in zip(t.column(0).to_pylist(), t.column(1).to_pylist())]
+            assert set(got) <= expected and (best or set(got) == expected)
+            assert len(got) <= (len(rows) if best else len(expected))
