@@ -31,7 +31,7 @@ from genenet_spark.llm.library import library
 #: A block is closed once it has so many ids; a document is never split.
 BLOCK_IDS = 1 << 19
 #: Words whose ids every task has at hand, at most.
-FREQUENT_WORDS = 500_000
+FREQUENT_WORDS = 200_000
 BLOCK_SCHEMA = ("part int, block int, in_part long, n_ids long, doc_ids array<bigint>, lengths array<bigint>, "
                 "control binary, data binary")
 #: Data bytes of the four ids of each control byte, and the bits that those leave of four bytes.
