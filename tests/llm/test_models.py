@@ -195,6 +195,16 @@ def test_lm_scoring_base_and_learning(spark, sf0001):
     assert sum(r.score for r in unseen) > 0.75 * -math.log10(50257) * sum(ids[r.doc_id] + 1 for r in unseen)
 
 
+def test_lm_scores_do_not_depend_on_the_shares_at_hand(spark, sf0001, monkeypatch):
+    docs = spark.read.parquet(f"{sf0001}/documents.parquet").select("doc_id", "text")
+    scores = []
+    for most in (lm_scoring.STORED_SHARES, 300):  # the rest takes the join
+        monkeypatch.setattr(lm_scoring, "STORED_SHARES", most)
+        scores.append({r.doc_id: r.score for r in lm_scoring.score_documents(docs, BYTE).collect()})
+    assert scores[0].keys() == scores[1].keys()
+    assert np.allclose([scores[0][d] for d in scores[0]], [scores[1][d] for d in scores[0]], rtol=1e-3)
+
+
 def test_lm_scoring_empty_and_without_training(spark):
     docs = spark.createDataFrame([(d, "some text") for d in range(60) if zlib.crc32(str(d).encode()) % 7 == 2], "doc_id long, text string")
     out = lm_scoring.score_documents(docs, BYTE).collect()
