@@ -205,6 +205,20 @@ def test_lm_scores_do_not_depend_on_the_shares_at_hand(spark, sf0001, monkeypatc
     assert np.allclose([scores[0][d] for d in scores[0]], [scores[1][d] for d in scores[0]], rtol=1e-3)
 
 
+def test_network_learns_all_windows(spark, monkeypatch):
+    assert 2 * attention.CONTEXT >= attention.WINDOW  # windows overlap by half: no place but the first is scored with little before it
+    m, rng = _model(), np.random.default_rng(5)
+    lengths = rng.integers(0, 90, 300).tolist()
+    rows = [(rng.integers(0, 60, n).astype("<u2").tobytes(), [], [], i) for i, n in enumerate(lengths)]
+    frame = spark.createDataFrame(rows, "ids binary, keys array<bigint>, shares array<float>, row long")
+    windows = sum(len(attention.window_starts(n + 1)) for n in lengths)
+    before = {c: x.copy() for c, x in m.weights.items()}
+    monkeypatch.setattr(lm_scoring, "SHARD_WINDOWS", windows // 9)
+    assert lm_scoring.train_network(frame, m, spark.sparkContext.broadcast(m), "<u2", 59) == windows
+    assert all(m.weights[c].shape == x.shape and np.isfinite(m.weights[c]).all() for c, x in before.items())
+    assert {c for c, x in before.items() if (m.weights[c] == x).all()} <= {"trust"}  # no share was given
+
+
 def test_lm_scoring_empty_and_without_training(spark):
     docs = spark.createDataFrame([(d, "some text") for d in range(60) if zlib.crc32(str(d).encode()) % 7 == 2], "doc_id long, text string")
     out = lm_scoring.score_documents(docs, BYTE).collect()
