@@ -16,6 +16,13 @@ among the first ``size - ceil(threshold * size) + 1`` of each, the prefix.
    blocks, across components. What passes is expanded to pairs and verified. Pairs
    inside a component need no check: they can't change the result.
 
+5. For the number of links (or the pairs), the classes of each component are compared
+   with one another in blocks: every link lies inside a component, so none is lost, and a
+   pair is in one block pair only. A task verifies what bitmaps allow with the texts at hand
+   and gives a row a class, not a pair.
+
+Steps 3 and 4 alone give the components (``keep_one``).
+
 Each linked pair shares a prefix value or a group, so it is verified or already
 joined: no link is lost. A row is a candidate pair only if it passes the bitmap, which
 is nearly exact for common sizes, so lists of unlike documents make no rows and a
@@ -45,6 +52,8 @@ from genenet_spark.llm.components import components
 FREQUENT = 50_000
 #: The full round compares lists in blocks of so many classes.
 BLOCK = 4096
+#: All links of a component are verified in blocks of so many classes.
+LINK_BLOCK = 512
 #: Rounds of verification: best pairs, best pairs of what is left, all that are left.
 VERIFY_ROUNDS = 3
 #: Keys of candidate texts that are broadcast at most: 16 MB.
@@ -240,6 +249,60 @@ def _compare(percent: int, best: bool):
     return run
 
 
+def _all_links(n: int, percent: int, pairs: bool):
+    """All links between the classes of each block pair ``(comp, i, j)``, as pairs or as numbers of links by class.
+
+    Rows ``comp, i, j, block, set, n, bits, text`` come sorted by block pair. Each pair of classes meets in one of them.
+    """
+
+    def worked(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        block, own, size = (np.array([r[c] for r in rows]) for c in (3, 5, 6))
+        names = [r[4] for r in rows]
+        mask = np.frombuffer(b"".join(r[7] for r in rows), np.uint64).reshape(-1, BITMAP // 64)
+        sets = [shingle_set(r[8], n) for r in rows]
+        values, place = np.unique(np.concatenate(sets), return_inverse=True)
+        ends = np.cumsum(size)
+        sets = np.split(place, ends[:-1])
+        held, links = np.zeros(len(values), bool), np.zeros(len(rows), np.int64)
+        left, right = [], []
+        for a in range(len(rows) - 1):
+            b = np.arange(a + 1, len(rows))
+            b = b[(np.minimum(size[b], size[a]) * 100 >= np.maximum(size[b], size[a]) * percent) & (own[a] | (block[b] != block[a]))]
+            differ = np.bitwise_count(mask[a] ^ mask[b]).sum(axis=-1, dtype=np.int64)
+            b = b[differ * (100 + percent) <= (100 - percent) * (size[a] + size[b])]
+            if not len(b):
+                continue
+            held[sets[a]] = True
+            first = np.cumsum(size[b]) - size[b]
+            both = np.add.reduceat(held[np.concatenate([sets[x] for x in b.tolist()])].astype(np.int64), first)
+            held[sets[a]] = False
+            b = b[100 * both >= percent * (size[a] + size[b] - both)]
+            links[a] += len(b)
+            links[b] += 1
+            if pairs and len(b):
+                left += [min(names[a], names[x]) for x in b.tolist()]
+                right += [max(names[a], names[x]) for x in b.tolist()]
+        if pairs:
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+        else:
+            some = np.flatnonzero(links).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array([names[x] for x in some], pa.binary()), pa.array(links[some])], names=["set", "links"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows = None, []
+        for batch in batches:
+            for comp, i, j, block, name, size, bits, text in zip(*(batch.column(c).to_pylist() for c in range(8))):
+                if (comp, i, j) != now:
+                    if len(rows) > 1:
+                        yield from worked(rows)
+                    now, rows = (comp, i, j), []
+                rows.append((comp, i, j, block, name, i == j, size, bits, text))
+        if len(rows) > 1:
+            yield from worked(rows)
+
+    return run
+
+
 def _verify(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[bytes, np.ndarray] = (b"", np.empty(0, np.uint64))
@@ -265,27 +328,34 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     """``doc_id, n_shingles, component_id, verified_links`` for each input row.
 
     ``component_id`` is the smallest id reachable by links (100 * intersection >= ``percent`` * union), the
-    row's own included; ``verified_links`` counts the links of the row's class to classes of
-    other sets that were checked: enough to span every component, not all links inside a group of near copies.
+    row's own included; ``verified_links`` counts the links of the row's class to classes of other sets, all of them.
 
     Cases: null texts and texts without words have an empty set, no link and their own id as component; a text
     of fewer than ``n`` words is one shingle; rows of equal sets link whatever their ids; repeated rows are
     repeated; null ids never are the smallest (null only where all ids of a component are null); other columns
     are ignored; an empty table gives an empty result.
     """
-    signed, label = _labelled(docs, n, percent, id_col, text_col)
+    signed, label, classes, rows = _labelled(docs, n, percent, id_col, text_col)
+    links = _linked(rows, classes, label, n, percent, pairs=False).groupBy("set").agg(F.sum("links").alias("links"))
+    label = label.join(links, "set", "left")
     return signed.select("doc_id", F.col("n").alias("n_shingles"), "set").join(label, "set", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("verified_links"))
 
 
+def linked_classes(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(``a, b`` of every linked pair of classes, ``doc_id, set`` of each input row: its class). Rows of one class are all linked."""
+    signed, label, classes, rows = _labelled(docs, n, percent, id_col, text_col)
+    return _linked(rows, classes, label, n, percent, pairs=True), signed.where("n > 0").select("doc_id", "set")
+
+
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input rows without near duplicates: one row of each component stays.
 
     It is the row of the smallest id (a null id only where all are null), of rows of that id the one of the
     least text hash, of identical ones any. Rows without words are linked with nothing and stay.
     """
-    signed, label = _labelled(docs, n, percent, id_col, text_col)
+    signed, label, _, _ = _labelled(docs, n, percent, id_col, text_col)
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     rows = signed.where("n > 0").join(label.select("set", "comp"), "set").select("comp", row.alias("row"))
     first = rows.groupBy("comp").agg(F.min("row").alias("row"))
@@ -301,8 +371,8 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_
     return alone.unionByName(one)
 
 
-def _labelled(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(a signature row for each input row, ``set, comp, component_id, links`` for each distinct set)."""
+def _labelled(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(a signature row for each input row, ``set, comp, component_id`` for each distinct set, the classes, the input rows)."""
     spark = docs.sparkSession
     text = F.col(text_col).cast("string").cast("binary")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
@@ -370,11 +440,27 @@ def _labelled(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str)
     discard(placed)
     every = _union(found) if found else classes.select(F.col("set").alias("a"), F.col("set").alias("b")).limit(0)
     comp = components(every)
-    degree = every.select(F.col("a").alias("set")).unionAll(every.select("b")).groupBy("set").agg(F.count(F.lit(1)).alias("links"))
     known = classes.select("set", "least").join(comp.withColumnRenamed("node", "set"), "set", "left").withColumn("comp", F.coalesce("comp", "set"))
     lowest = known.groupBy("comp").agg(F.min("least").alias("component_id"))
-    label = known.join(lowest, "comp").join(degree, "set", "left")
-    return signed, freeze(label.select("set", "comp", "component_id", F.coalesce("links", F.lit(0)).alias("links")), "labels")
+    label = known.join(lowest, "comp")
+    return signed, freeze(label.select("set", "comp", "component_id"), "labels"), classes, rows
+
+
+def _linked(rows: DataFrame, classes: DataFrame, label: DataFrame, n: int, percent: int, pairs: bool) -> DataFrame:
+    """``a, b`` of all linked pairs of classes, or ``set, links`` with the links of a class in each block pair."""
+    sizes = label.groupBy("comp").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    member = label.join(sizes, "comp").join(classes.select("set", "n", "bits", "key"), "set").withColumn("blocks", F.ceil(F.col("m") / LINK_BLOCK).cast("int"))
+    member = member.withColumn("block", F.pmod(F.xxhash64("set", F.lit("links")), F.col("blocks")).cast("int"))
+    member = freeze(member.select("comp", "set", "n", "bits", "key", "blocks", "block"), "members")
+    texts = rows.select("text_key", "text").join(member.select(F.col("key").alias("text_key")).distinct(), "text_key", "left_semi")
+    texts = texts.groupBy("text_key").agg(F.first("text").alias("text"))
+    with_text = member.join(texts.withColumnRenamed("text_key", "key"), "key")
+    worked = with_text.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    worked = worked.select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set", "n", "bits", "text")
+    worked = worked.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "block", "set")
+    links = freeze(map_batches(worked, _all_links(n, percent, pairs), "a binary, b binary" if pairs else "set binary, links long"), "all-links")
+    free_shuffles(rows.sparkSession)
+    return links
 
 
 def _union(links: list[DataFrame]) -> DataFrame:

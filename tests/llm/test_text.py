@@ -158,6 +158,33 @@ def test_jaccard_join_matches_brute_force(spark, n, percent):
     assert got == sorted(map(none, _brute_components(rows, n, percent)))
 
 
+@pytest.mark.parametrize("block", [7, 512])
+def test_jaccard_join_counts_every_link(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "LINK_BLOCK", block)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(150)]
+    rows = [r for r in _near_rows() if r[0] is not None]
+    for k in range(40):  # near copies of one text: most are linked with most others
+        copy = list(words)
+        for _ in range(k % 4):
+            copy[rng.randrange(150)] = f"x{k}"
+        rows.append((9000 + k, " ".join(copy)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {d: frozenset(jaccard.shingle_set((t or "").encode(), 3).tolist()) for d, t in rows}
+    distinct = {x for x in sets.values() if x}
+    links = {x: sum(y != x and 100 * len(x & y) >= 90 * len(x | y) for y in distinct) for x in distinct}
+    of = defaultdict(set)
+    for d, t in rows:
+        of[d].add(links.get(frozenset(jaccard.shingle_set((t or "").encode(), 3).tolist()), 0))
+    got = jaccard.link_components(frame, 3, 90).collect()
+    assert len(got) == len(rows) and all(r.verified_links in of[r.doc_id] for r in got)
+    assert max(r.verified_links for r in got) >= 15
+    pairs, membership = jaccard.linked_classes(frame, 3, 90)
+    pairs = [(r.a, r.b) for r in pairs.collect()]
+    assert len(pairs) == len(set(pairs)) == sum(links.values()) // 2
+    assert {bytes(x) for p in pairs for x in p} <= {bytes(r.set) for r in membership.collect()}
+
+
 def test_jaccard_keep_one(spark):
     rows = _near_rows()
     frame = spark.createDataFrame([(*r, *CLASH_ROW) for r in rows], f"doc_id long, text string, {CLASH}")
