@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genenet_spark.llm import ann, bpe, chat, decontaminate, jaccard, language, lines, lm_scoring, token_counts, token_file
+from genenet_spark.llm import (ann, bpe, centroids, chat, decontaminate, jaccard, language, lines, lm_scoring, token_counts, token_file,
+                               whitening)
 from genenet_spark.llm.common import doc_crc, scratch_path, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -136,6 +137,49 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model, {"doc_id": "long", "held_out": "boolean"})
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11 over all embeddings: four whitened components of every row."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12 over all embeddings: 16 centroids, three rounds, exact whole numbers."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def _sql_centroids() -> str:
+    dim, count = centroids.DIM, centroids.CENTROIDS
+    steps = [f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id,
+         list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * {centroids.FACTOR}) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = {dim} AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = {dim}),
+e AS MATERIALIZED (SELECT rid, unnest(x) AS v, unnest(range({dim})) AS i FROM k),
+s AS (SELECT x, row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, x) - 1 AS c FROM k QUALIFY c < {count}),
+c0 AS MATERIALIZED (SELECT c, unnest(x) AS v, unnest(range({dim})) AS i FROM s)"""]
+    for r in range(centroids.ROUNDS + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT rid, c, d FROM (SELECT rid, c, CAST(sum((e.v - c{r}.v) * (e.v - c{r}.v)) AS BIGINT) AS d FROM e JOIN c{r} USING (i) GROUP BY rid, c)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, c) = 1)""")
+        if r < centroids.ROUNDS:
+            steps.append(f"""
+m{r} AS (SELECT a{r}.c, e.i, sum(e.v) AS total, count(*) AS n FROM e JOIN a{r} USING (rid) GROUP BY a{r}.c, e.i),
+c{r + 1} AS MATERIALIZED (
+  SELECT c{r}.c, c{r}.i, CAST(coalesce((total - ((total % n) + n) % n) // n, c{r}.v) AS BIGINT) AS v
+  FROM c{r} LEFT JOIN m{r} ON c{r}.c = m{r}.c AND c{r}.i = m{r}.i)""")
+    last = centroids.ROUNDS
+    return ",".join(steps) + f""",
+g AS (SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{last} GROUP BY c)
+SELECT k.vec_id, CAST(a.c AS INTEGER) AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, g.centroid_sha256
+FROM a{last} a JOIN k USING (rid) JOIN g ON a.c = g.c
+"""
+
+
+OP12_SQL = _sql_centroids()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_neighbours": op2_neighbours,
@@ -147,6 +191,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_chat": op9_chat,
     "op10_language": op10_language,
+    "op11_whitening": op11_whitening,
+    "op12_centroids": op12_centroids,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the operator.
@@ -154,4 +200,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
     "op5_decontamination": OP5_SQL,
     "op9_chat": OP9_SQL,
+    "op12_centroids": OP12_SQL,
 }
