@@ -152,8 +152,8 @@ def _sql_centroids() -> str:
     steps = [f"""
 WITH k AS MATERIALIZED (
   SELECT row_number() OVER () AS rid, vec_id,
-         list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * {centroids.FACTOR}) AS BIGINT)) AS x FROM embeddings
-  WHERE len(embedding) = {dim} AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = {dim}),
+         [CAST(floor(CAST(v AS DOUBLE) * {centroids.FACTOR}) AS BIGINT) FOR v IN embedding] AS x FROM embeddings
+  WHERE len(embedding) = {dim} AND len([v FOR v IN embedding IF v IS NOT NULL AND isfinite(v)]) = {dim}),
 e AS MATERIALIZED (SELECT rid, unnest(x) AS v, unnest(range({dim})) AS i FROM k),
 s AS (SELECT x, row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, x) - 1 AS c FROM k QUALIFY c < {count}),
 c0 AS MATERIALIZED (SELECT c, unnest(x) AS v, unnest(range({dim})) AS i FROM s)"""]
