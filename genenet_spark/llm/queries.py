@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genenet_spark.llm import (ann, bpe, centroids, chat, decontaminate, jaccard, language, lines, lm_scoring, token_counts, token_file,
-                               whitening)
+from genenet_spark.llm import (ann, bpe, centroids, chat, decontaminate, jaccard, language, lines, lm_scoring, repeats, token_counts,
+                               token_file, whitening)
 from genenet_spark.llm.common import doc_crc, scratch_path, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -142,6 +142,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13 over all documents: bytes covered by 100-byte strings that start earlier are removed."""
+    out = repeats.drop_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 12 over all embeddings: 16 centroids, three rounds, exact whole numbers."""
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
@@ -193,6 +199,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
     "op11_whitening": op11_whitening,
     "op12_centroids": op12_centroids,
+    "op13_repeats": op13_repeats,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the operator.
