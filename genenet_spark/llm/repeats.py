@@ -19,14 +19,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genenet_spark.llm.common import discard, freeze, map_batches
+from genenet_spark.llm.common import discard, free_shuffles, freeze, map_batches
 from genenet_spark.llm.suffixes import repeated_groups
 
 LENGTH = 100
 #: Bytes hashed to choose anchors: long enough that chance repeats are rare, short enough that anchors are sparse.
 GRAM = 32
 #: Bytes worked on at once when anchors are chosen.
-PIECE = 1 << 20
+PIECE = 1 << 17
+#: Bytes of texts handed back at once.
+OUT_BYTES = 1 << 20
 #: Segments handed back at once.
 CUT_ROWS = 4096
 #: Bytes of segments in a shard on average; a shard may be many times larger.
@@ -38,7 +40,9 @@ QUEUE_ROWS = 1 << 16
 POLYNOMIAL = 0x9E3779B97F4A7C15
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
-ANCHORS = "hash long, digest long, doc long, tk long, start long, n int"
+#: A run of ``n`` neighbouring passages from ``start`` on is one number, ``start * RUN + n``; anchors reach no further than a passage.
+RUN = 1 << 20
+ANCHORS = "hash long, doc long, tk long, run long"
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -56,12 +60,12 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
 
 def _least_at(hashes: np.ndarray, window: int) -> np.ndarray:
     """Place of the least hash (the first of equal ones) in the ``window`` places from each place on."""
-    at, width = np.arange(len(hashes)), 1
+    at, least, width = np.arange(len(hashes)), hashes, 1
     while width < window:
         step = min(width, window - width)
-        other = at[step:]
-        near = at[: len(other)]
-        at = np.where(hashes[other] < hashes[near], other, near)
+        after = least[step:] < least[:-step]
+        at = np.where(after, at[step:], at[:-step])
+        least = np.where(after, least[step:], least[:-step])
         width += step
     return at
 
@@ -123,12 +127,10 @@ def _find_anchors(length: int):
                 start, count, hashes = segments(here, ends, length)
                 if not len(start):
                     continue
-                view = memoryview(here)
-                digests = [xxhash.xxh3_64_intdigest(view[s : s + c + length - 1]) for s, c in zip(start.tolist(), count.tolist())]
                 row = a + np.searchsorted(offsets[a + 1 : b + 1], low + start, side="right")
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(hashes), pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(docs[row]), pa.array(keys[row]),
-                    pa.array(low + start - offsets[row]), pa.array(count.astype(np.int32))], names=[f.split()[0] for f in ANCHORS.split(", ")])
+                    pa.array(hashes), pa.array(docs[row]), pa.array(keys[row]), pa.array((low + start - offsets[row]) * RUN + count),
+                ], names=[f.split()[0] for f in ANCHORS.split(", ")])
 
     return run
 
@@ -141,21 +143,22 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=["doc", "tk", "z"])
 
 
-def _cut(length: int):
-    """Rows of a document's text and its contested runs to the bytes of each."""
-
-    names = ["hash", "doc", "tk", "start", "segment"]
-    types = [pa.int64()] * 4 + [pa.binary()]
+def _cut(length: int, whole: bool):
+    """Rows of a document's text and runs in it to a row a run: its digest, or with ``whole`` its bytes."""
+    names = ["hash", "doc", "tk", "run", "segment"]
+    types = [pa.int64()] * 4 + [pa.binary() if whole else pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         rows: list[tuple] = []
         for batch in batches:
             for i in range(batch.num_rows):
-                doc, key, z, runs = (batch.column(k)[i].as_py() for k in range(4))
-                text = unpack.decompress(z)
-                for r in runs:
-                    rows.append((r["hash"], doc, key, r["start"], text[r["start"] : r["start"] + r["n"] + length - 1]))
+                doc, key, z, hashes, runs = (batch.column(k)[i].as_py() for k in range(5))
+                text = memoryview(unpack.decompress(z))
+                for h, r in zip(hashes, runs):
+                    start, n = divmod(r, RUN)
+                    part = text[start : start + n + length - 1]
+                    rows.append((h, doc, key, r, bytes(part) if whole else xxhash.xxh3_64_intdigest(part) - (1 << 63)))
                     if len(rows) == CUT_ROWS:
                         yield _batch(rows, types, names)
         if rows:
@@ -172,7 +175,7 @@ def _sort_shard(length: int, memory: int):
         for batch in batches:
             docs.append(batch.column(1).to_numpy())
             keys.append(batch.column(2).to_numpy())
-            starts.append(batch.column(3).to_numpy())
+            starts.append(batch.column(3).to_numpy() // RUN)
             data, offsets = _bytes_of(batch.column(4))
             sizes = np.diff(offsets)
             codes = np.zeros(int(sizes.sum()) + len(sizes), np.uint16)  # byte + 1, and a sentinel behind each segment
@@ -201,8 +204,9 @@ def _sort_shard(length: int, memory: int):
                 first = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (np.diff(segment) != 0)))
                 owner = segment[first]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(docs[owner]), pa.array(keys[owner]), pa.array(starts[owner] + at[first] - begin[owner]),
-                    pa.array(np.diff(np.append(first, len(at))).astype(np.int32))], names=["doc", "tk", "start", "n"])
+                    pa.array(docs[owner]), pa.array(keys[owner]),
+                    pa.array((starts[owner] + at[first] - begin[owner]) * RUN + np.diff(np.append(first, len(at)))),
+                ], names=["doc", "tk", "run"])
 
     return run
 
@@ -220,17 +224,17 @@ def _remove(length: int):
         size = 0
         for batch in batches:
             for i in range(batch.num_rows):
-                doc_id, z, starts, counts = (batch.column(k)[i].as_py() for k in range(4))
+                doc_id, z, runs = (batch.column(k)[i].as_py() for k in range(3))
                 text = b"" if z is None else unpack.decompress(z)
                 spans, kept, last = [], [], 0
-                for s, e in _spans(starts or [], counts or [], length):
+                for s, e in _spans(runs or [], length):
                     spans.append({"start": s, "length": e - s})
                     kept.append(text[last:s])
                     last = e
                 kept.append(text[last:])
                 rows.append((doc_id, len(text), sum(s["length"] for s in spans), len(spans), spans, b"".join(kept)))
                 size += len(rows[-1][-1]) + 32 * len(spans)
-                if size >= PIECE:
+                if size >= OUT_BYTES:
                     yield _batch(rows, types, names)
                     size = 0
         if rows:
@@ -246,10 +250,10 @@ def _batch(rows: list[tuple], types: list[pa.DataType], names: list[str]) -> pa.
     return out
 
 
-def _spans(starts: list[int], counts: list[int], length: int) -> list[tuple[int, int]]:
+def _spans(runs: list[int], length: int) -> list[tuple[int, int]]:
     """Bytes covered by runs of passages, as maximal spans."""
     out: list[tuple[int, int]] = []
-    for s, n in sorted(zip(starts, counts)):
+    for s, n in (divmod(r, RUN) for r in sorted(runs)):
         e = s + n + length - 1
         if out and s <= out[-1][1]:
             out[-1] = (out[-1][0], max(e, out[-1][1]))
@@ -258,33 +262,49 @@ def _spans(starts: list[int], counts: list[int], length: int) -> list[tuple[int,
     return out
 
 
-def repeated_runs(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, queue_rows: int = QUEUE_ROWS) -> DataFrame:
-    """``doc, tk, start, n``: runs of ``n`` passage starts of ``docs(doc, tk, text binary)`` that also stand earlier.
+def _with_runs(docs: DataFrame, runs: DataFrame, how: str, *columns: str) -> DataFrame:
+    """``doc, tk, z`` (the text as a zstd frame) and arrays of ``columns`` of the runs in each document."""
+    lists = runs.groupBy("doc", "tk").agg(F.collect_list(F.struct(*columns)).alias("a"))
+    texts = map_batches(docs, _squeeze, "doc long, tk long, z binary")
+    return texts.join(lists, ["doc", "tk"], how).select("doc", "tk", "z", *(F.col(f"a.{c}").alias(c) for c in columns))
+
+
+def _segment_classes(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Stored tables of runs around anchors that stand more than once: all of them with their digests, and the different ones.
 
-    A stored table; the caller discards it.
+    A class has its ``first`` run, its number of ``rows``, and whether its anchor is ``contested`` by another class.
     """
-    spark = docs.sparkSession
-    anchors = freeze(map_batches(docs.where(F.length("text") >= length), _find_anchors(length), ANCHORS), "anchors")
-    hashes = anchors.groupBy("hash").agg(F.count(F.lit(1)).alias("rows"), F.min("digest").alias("low"), F.max("digest").alias("high"))
-    again = hashes.where("rows > 1").select("hash", (F.col("low") != F.col("high")).alias("contested"))
+    anchors = freeze(map_batches(docs, _find_anchors(length), ANCHORS), "anchors")
+    again = anchors.groupBy("hash").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("hash")
     met = freeze(anchors.join(again, "hash"), "met-anchors")
     discard(anchors)
-    place = F.struct("doc", "tk", "start", "n")
-    classes = met.groupBy("hash", "digest", "contested").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows"))
-    classes = freeze(classes, "segment-classes")
-    copies = met.join(classes.where("rows > 1").select("hash", "digest", "first"), ["hash", "digest"]).where(place != F.col("first"))
-    copies = copies.select("doc", "tk", "start", "n")
+    free_shuffles(docs.sparkSession)
+    cut = map_batches(_with_runs(docs, met, "inner", "hash", "run"), _cut(length, False), "hash long, doc long, tk long, run long, digest long")
+    runs = freeze(cut, "segments")
+    discard(met)
+    several = runs.groupBy("hash").agg((F.min("digest") != F.max("digest")).alias("contested"))
+    classes = runs.groupBy("hash", "digest").agg(F.min(F.struct("doc", "tk", "run")).alias("first"), F.count(F.lit(1)).alias("rows"))
+    classes = freeze(classes.join(several, "hash"), "segment-classes")
+    free_shuffles(docs.sparkSession)
+    return runs, classes
+
+
+def repeated_runs(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, queue_rows: int = QUEUE_ROWS) -> DataFrame:
+    """``doc, tk, run``: runs of passage starts of ``docs(doc, tk, text binary)`` that also stand earlier, as a stored table."""
+    docs = docs.where(F.length("text") >= length)
+    runs, classes = _segment_classes(docs, length)
+    first = F.struct("doc", "tk", "run") != F.col("first")
+    copies = runs.join(classes.where("rows > 1").select("hash", "digest", "first"), ["hash", "digest"]).where(first).select("doc", "tk", "run")
     contested = classes.where("contested").select("hash", "first.*")
-    size = contested.agg(F.sum(F.col("n") + length - 1).alias("b")).first()["b"]
+    size = contested.agg(F.sum(F.col("run") % RUN + length - 1).alias("b")).first()["b"]
     if size:
-        wanted = contested.groupBy("doc", "tk").agg(F.collect_list(F.struct("hash", "start", "n")).alias("runs"))
-        texts = map_batches(docs.where(F.length("text") >= length), _squeeze, "doc long, tk long, z binary")
-        cut = map_batches(texts.join(wanted, ["doc", "tk"]).select("doc", "tk", "z", "runs"), _cut(length),
-                          "hash long, doc long, tk long, start long, segment binary")
-        dealt = cut.repartition(max(1, -(-int(size) // shard_bytes)), "hash").sortWithinPartitions("doc", "tk", "start")
-        copies = copies.unionByName(map_batches(dealt, _sort_shard(length, queue_rows), "doc long, tk long, start long, n int"))
+        cut = map_batches(_with_runs(docs, contested, "inner", "hash", "run"), _cut(length, True),
+                          "hash long, doc long, tk long, run long, segment binary")
+        dealt = cut.repartition(max(1, -(-int(size) // shard_bytes)), "hash").sortWithinPartitions("doc", "tk", "run")
+        copies = copies.unionByName(map_batches(dealt, _sort_shard(length, queue_rows), "doc long, tk long, run long"))
     out = freeze(copies, "repeated-runs")
-    discard(met, classes)
+    discard(runs, classes)
+    free_shuffles(docs.sparkSession)
     return out
 
 
@@ -302,12 +322,10 @@ def drop_repeats(documents: DataFrame, length: int = LENGTH, shard_bytes: int =
     """
     least = F.lit(-(1 << 63))
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    docs = docs.select(F.coalesce("doc_id", least).alias("doc"), F.xxhash64("text").alias("tk"), "text", "doc_id")
-    runs = repeated_runs(docs.select("doc", "tk", "text"), length, shard_bytes, queue_rows)
-    marks = runs.groupBy("doc", "tk").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    texts = map_batches(docs.select("doc", "tk", "text"), _squeeze, "doc long, tk long, z binary")
-    joined = texts.join(marks, ["doc", "tk"], "left")
+    docs = docs.select(F.coalesce("doc_id", least).alias("doc"), "text")
+    # Only where an id stands twice do texts need a key of their own beside it.
+    twice = not docs.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    docs = docs.select("doc", (F.xxhash64("text") if twice else F.lit(0).cast("long")).alias("tk"), "text")
+    runs = repeated_runs(docs, length, shard_bytes, queue_rows)
     doc_id = F.when(F.col("doc") != least, F.col("doc")).alias("doc_id")
-    out = freeze(map_batches(joined.select(doc_id, "z", F.col("runs.start").alias("starts"), F.col("runs.n").alias("counts")), _remove(length), DEDUPED), "deduped")
-    discard(runs)
-    return out
+    return map_batches(_with_runs(docs, runs, "left", "run").select(doc_id, "z", "run"), _remove(length), DEDUPED)

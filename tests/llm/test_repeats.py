@@ -158,7 +158,8 @@ def test_every_passage_has_one_segment(piece, monkeypatch):
     seen = set()
     for out in repeats._find_anchors(100)(iter([batch])):
         for r in out.to_pylist():
-            for p in range(r["start"], r["start"] + r["n"]):
+            start, count = divmod(r["run"], repeats.RUN)
+            for p in range(start, start + count):
                 assert (r["doc"], p) not in seen
                 seen.add((r["doc"], p))
                 assert hashes.setdefault(texts[r["doc"]][p : p + 100], r["hash"]) == r["hash"]
