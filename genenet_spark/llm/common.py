@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -47,10 +48,13 @@ def discard(*frozen: DataFrame) -> None:
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner see that the shuffle files of finished jobs are needed no more.
 
-    It acts on garbage collection, which a driver with little garbage puts off while executors' disks fill up.
+    It acts on garbage collection, which a driver with little garbage puts off while executors' disks fill up. The first
+    collection finds the plans that Python has let go, the second the shuffles that only those plans held.
     """
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def remove_tree(spark: SparkSession, path: str) -> None:

@@ -42,7 +42,7 @@ MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 #: A run of ``n`` neighbouring passages from ``start`` on is one number, ``start * RUN + n``; anchors reach no further than a passage.
 RUN = 1 << 20
-ANCHORS = "hash long, doc long, tk long, run long"
+ANCHORS = "hash long, doc long, tk long, run long, digest long"
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -127,9 +127,12 @@ def _find_anchors(length: int):
                 start, count, hashes = segments(here, ends, length)
                 if not len(start):
                     continue
+                view = memoryview(here)
+                digests = [xxhash.xxh3_64_intdigest(view[s : s + c + length - 1]) for s, c in zip(start.tolist(), count.tolist())]
                 row = a + np.searchsorted(offsets[a + 1 : b + 1], low + start, side="right")
                 yield pa.RecordBatch.from_arrays([
                     pa.array(hashes), pa.array(docs[row]), pa.array(keys[row]), pa.array((low + start - offsets[row]) * RUN + count),
+                    pa.array(np.array(digests, np.uint64).view(np.int64)),
                 ], names=[f.split()[0] for f in ANCHORS.split(", ")])
 
     return run
@@ -143,10 +146,10 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=["doc", "tk", "z"])
 
 
-def _cut(length: int, whole: bool):
-    """Rows of a document's text and runs in it to a row a run: its digest, or with ``whole`` its bytes."""
+def _cut(length: int):
+    """Rows of a document's text and runs in it to a row a run with its bytes."""
     names = ["hash", "doc", "tk", "run", "segment"]
-    types = [pa.int64()] * 4 + [pa.binary() if whole else pa.int64()]
+    types = [pa.int64()] * 4 + [pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -154,11 +157,10 @@ def _cut(length: int, whole: bool):
         for batch in batches:
             for i in range(batch.num_rows):
                 doc, key, z, hashes, runs = (batch.column(k)[i].as_py() for k in range(5))
-                text = memoryview(unpack.decompress(z))
+                text = unpack.decompress(z)
                 for h, r in zip(hashes, runs):
                     start, n = divmod(r, RUN)
-                    part = text[start : start + n + length - 1]
-                    rows.append((h, doc, key, r, bytes(part) if whole else xxhash.xxh3_64_intdigest(part) - (1 << 63)))
+                    rows.append((h, doc, key, r, text[start : start + n + length - 1]))
                     if len(rows) == CUT_ROWS:
                         yield _batch(rows, types, names)
         if rows:
@@ -276,15 +278,14 @@ def _segment_classes(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame
     """
     anchors = freeze(map_batches(docs, _find_anchors(length), ANCHORS), "anchors")
     again = anchors.groupBy("hash").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("hash")
-    met = freeze(anchors.join(again, "hash"), "met-anchors")
+    runs = freeze(anchors.join(again, "hash"), "met-anchors")
     discard(anchors)
+    del anchors, again
     free_shuffles(docs.sparkSession)
-    cut = map_batches(_with_runs(docs, met, "inner", "hash", "run"), _cut(length, False), "hash long, doc long, tk long, run long, digest long")
-    runs = freeze(cut, "segments")
-    discard(met)
     several = runs.groupBy("hash").agg((F.min("digest") != F.max("digest")).alias("contested"))
     classes = runs.groupBy("hash", "digest").agg(F.min(F.struct("doc", "tk", "run")).alias("first"), F.count(F.lit(1)).alias("rows"))
     classes = freeze(classes.join(several, "hash"), "segment-classes")
+    del several
     free_shuffles(docs.sparkSession)
     return runs, classes
 
@@ -298,12 +299,13 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHAR
     contested = classes.where("contested").select("hash", "first.*")
     size = contested.agg(F.sum(F.col("run") % RUN + length - 1).alias("b")).first()["b"]
     if size:
-        cut = map_batches(_with_runs(docs, contested, "inner", "hash", "run"), _cut(length, True),
+        cut = map_batches(_with_runs(docs, contested, "inner", "hash", "run"), _cut(length),
                           "hash long, doc long, tk long, run long, segment binary")
         dealt = cut.repartition(max(1, -(-int(size) // shard_bytes)), "hash").sortWithinPartitions("doc", "tk", "run")
         copies = copies.unionByName(map_batches(dealt, _sort_shard(length, queue_rows), "doc long, tk long, run long"))
     out = freeze(copies, "repeated-runs")
     discard(runs, classes)
+    del runs, classes, copies
     free_shuffles(docs.sparkSession)
     return out
 
