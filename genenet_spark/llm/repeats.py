@@ -32,7 +32,7 @@ OUT_BYTES = 1 << 20
 #: Segments handed back at once.
 CUT_ROWS = 4096
 #: Bytes of segments in a shard on average; a shard may be many times larger.
-SHARD_BYTES = 1 << 22
+SHARD_BYTES = 1 << 19
 #: Suffix tuples a shard's queue holds in memory.
 QUEUE_ROWS = 1 << 16
 

@@ -24,7 +24,7 @@ import numpy as np
 #: Bytes in the first symbol of a suffix. Symbols of several bytes spread the suffixes over more ranges; order is the same.
 SYMBOL_BYTES = 4
 #: Arrays below this many bytes stay in memory.
-IN_MEMORY = 1 << 22
+IN_MEMORY = 1 << 23
 SAMPLE = 1 << 14
 CHUNK = 1 << 18
 
