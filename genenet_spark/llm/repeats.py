@@ -39,9 +39,11 @@ QUEUE_ROWS = 1 << 16
 #: Odd multipliers of the hashes (fixed values).
 POLYNOMIAL = 0x9E3779B97F4A7C15
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+SEED_BITS = (1 << 64) - 1
 
-#: A run of ``n`` neighbouring passages from ``start`` on is one number, ``start * RUN + n``; anchors reach no further than a passage.
-RUN = 1 << 20
+#: A run of ``n`` neighbouring passages from ``start`` on, with its anchor ``at`` bytes further, is one number:
+#: ``start * RUN + at * AT + n``. Passages may have up to 65,535 bytes.
+RUN, AT = 1 << 32, 1 << 16
 ANCHORS = "hash long, doc long, tk long, run long, digest long"
 
 
@@ -60,7 +62,8 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
 
 def _least_at(hashes: np.ndarray, window: int) -> np.ndarray:
     """Place of the least hash (the first of equal ones) in the ``window`` places from each place on."""
-    at, least, width = np.arange(len(hashes)), hashes, 1
+    # Their upper halves are enough to choose by.
+    at, least, width = np.arange(len(hashes), dtype=np.int32), (hashes >> np.uint64(32)).astype(np.uint32), 1
     while width < window:
         step = min(width, window - width)
         after = least[step:] < least[:-step]
@@ -70,11 +73,11 @@ def _least_at(hashes: np.ndarray, window: int) -> np.ndarray:
     return at
 
 
-def segments(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``start, count, hash`` of runs of passages with one anchor in ``data``, whose texts end at ``ends``."""
+def segments(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """``start, count, hash, anchor place`` of runs of passages with one anchor in ``data``, whose texts end at ``ends``."""
     none = np.empty(0, np.int64)
     if len(data) < length:
-        return none, none, none
+        return none, none, none, none
     hashes = _gram_hashes(data)
     anchor = _least_at(hashes[: len(data) - GRAM + 1], length - GRAM + 1)[: len(data) - length + 1]
     inside = np.zeros(len(anchor), bool)
@@ -89,7 +92,7 @@ def segments(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[
     start = np.flatnonzero(new)
     stop = np.append(start[1:], len(anchor))
     stopped = np.append(0, np.cumsum(inside))
-    return start, stopped[stop] - stopped[start], hashes[anchor[start]].view(np.int64)
+    return start, stopped[stop] - stopped[start], hashes[anchor[start]].view(np.int64), anchor[start]
 
 
 def _pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, int, int]]:
@@ -124,14 +127,14 @@ def _find_anchors(length: int):
             for a, b, low, high in _pieces(offsets, length):
                 here = data[low:high]
                 ends = (np.minimum(offsets[a + 1 : b + 1], high) - low).tolist()
-                start, count, hashes = segments(here, ends, length)
+                start, count, hashes, anchor = segments(here, ends, length)
                 if not len(start):
                     continue
                 view = memoryview(here)
                 digests = [xxhash.xxh3_64_intdigest(view[s : s + c + length - 1]) for s, c in zip(start.tolist(), count.tolist())]
                 row = a + np.searchsorted(offsets[a + 1 : b + 1], low + start, side="right")
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(hashes), pa.array(docs[row]), pa.array(keys[row]), pa.array((low + start - offsets[row]) * RUN + count),
+                    pa.array(hashes), pa.array(docs[row]), pa.array(keys[row]), pa.array((low + start - offsets[row]) * RUN + (anchor - start) * AT + count),
                     pa.array(np.array(digests, np.uint64).view(np.int64)),
                 ], names=[f.split()[0] for f in ANCHORS.split(", ")])
 
@@ -159,7 +162,7 @@ def _cut(length: int):
                 doc, key, z, hashes, runs = (batch.column(k)[i].as_py() for k in range(5))
                 text = unpack.decompress(z)
                 for h, r in zip(hashes, runs):
-                    start, n = divmod(r, RUN)
+                    start, n = r // RUN, r % AT
                     rows.append((h, doc, key, r, text[start : start + n + length - 1]))
                     if len(rows) == CUT_ROWS:
                         yield _batch(rows, types, names)
@@ -169,25 +172,47 @@ def _cut(length: int):
     return run
 
 
+def _may_share(hashes: list[int], parts: list[bytes], at: list[int], length: int) -> np.ndarray:
+    """Marks segments that can share a passage with another one of their anchor.
+
+    A passage holds its anchor and half of its other bytes, or more, on one side of it; two that are equal agree in as
+    many bytes on that side.
+    """
+    side = (length - GRAM + 1) // 2
+    keys = np.empty((2, len(parts)), np.uint64)
+    for i, (h, part, a) in enumerate(zip(hashes, parts, at)):
+        # A segment that is too short on one side keeps a key of its own there: it has no such passage.
+        keys[0, i] = xxhash.xxh3_64_intdigest(part[a - side : a], h & SEED_BITS) if a >= side else i
+        keys[1, i] = xxhash.xxh3_64_intdigest(part[a + GRAM : a + GRAM + side], ~h & SEED_BITS) if len(part) - a - GRAM >= side else i
+    kept = np.zeros(len(parts), bool)
+    for key in keys:
+        _, which, count = np.unique(key, return_inverse=True, return_counts=True)
+        kept |= count[which] > 1
+    return kept
+
+
 def _sort_shard(length: int, memory: int):
     """Segments of one shard, in the order of documents, to runs of passages that stand earlier in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, keys, starts, parts = [], [], [], []
-        for batch in batches:
-            docs.append(batch.column(1).to_numpy())
-            keys.append(batch.column(2).to_numpy())
-            starts.append(batch.column(3).to_numpy() // RUN)
-            data, offsets = _bytes_of(batch.column(4))
-            sizes = np.diff(offsets)
-            codes = np.zeros(int(sizes.sum()) + len(sizes), np.uint16)  # byte + 1, and a sentinel behind each segment
-            codes[np.arange(int(sizes.sum())) + np.repeat(np.arange(len(sizes)), sizes)] = data[offsets[0] : offsets[-1]].astype(np.uint16) + 1
-            parts.append(codes)
-        if not parts:
+        seen: list[pa.RecordBatch] = list(batches)
+        if not sum(b.num_rows for b in seen):
+            return
+        everything = pa.Table.from_batches(seen).combine_chunks()
+        seen.clear()
+        hashes, runs = (everything.column(i).to_numpy() for i in (0, 3))
+        parts = everything.column(4).to_pylist()
+        kept = _may_share(hashes.tolist(), parts, (runs // AT % AT).tolist(), length)
+        docs, keys, starts = (c[kept] for c in (everything.column(1).to_numpy(), everything.column(2).to_numpy(), runs // RUN))
+        codes = [p for p, k in zip(parts, kept) if k]
+        del everything, parts
+        if not codes:
             return
-        docs, keys, starts, data = np.concatenate(docs), np.concatenate(keys), np.concatenate(starts), np.concatenate(parts)
-        parts.clear()
-        sentinel = np.flatnonzero(data == 0)
+        # Byte + 1, and a sentinel behind each segment.
+        sentinel = np.cumsum([len(c) + 1 for c in codes]) - 1
+        data = np.frombuffer(b"\0".join([*codes, b""]), np.uint8).astype(np.uint16) + 1
+        codes.clear()
+        data[sentinel] = 0
         begin = np.append(0, sentinel[:-1] + 1)
         changed = (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1])
         number = np.append(0, np.cumsum(changed))
@@ -255,7 +280,7 @@ def _batch(rows: list[tuple], types: list[pa.DataType], names: list[str]) -> pa.
 def _spans(runs: list[int], length: int) -> list[tuple[int, int]]:
     """Bytes covered by runs of passages, as maximal spans."""
     out: list[tuple[int, int]] = []
-    for s, n in (divmod(r, RUN) for r in sorted(runs)):
+    for s, n in ((r // RUN, r % AT) for r in sorted(runs)):
         e = s + n + length - 1
         if out and s <= out[-1][1]:
             out[-1] = (out[-1][0], max(e, out[-1][1]))
@@ -297,7 +322,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHAR
     first = F.struct("doc", "tk", "run") != F.col("first")
     copies = runs.join(classes.where("rows > 1").select("hash", "digest", "first"), ["hash", "digest"]).where(first).select("doc", "tk", "run")
     contested = classes.where("contested").select("hash", "first.*")
-    size = contested.agg(F.sum(F.col("run") % RUN + length - 1).alias("b")).first()["b"]
+    size = contested.agg(F.sum(F.col("run") % AT + length - 1).alias("b")).first()["b"]
     if size:
         cut = map_batches(_with_runs(docs, contested, "inner", "hash", "run"), _cut(length),
                           "hash long, doc long, tk long, run long, segment binary")

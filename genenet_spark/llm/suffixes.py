@@ -57,44 +57,44 @@ class RangeMinimum:
 class SuffixQueue:
     """A priority queue of tuples (symbol, order, position, common prefix), least symbol and order first.
 
-    Tuples come in rising order, so a stable sort by symbol is a sort by both.
+    It gives back one range of symbols at a time. A push is sorted and of higher orders than those before it, so the
+    tuples of a range need only a stable sort by symbol. What exceeds ``memory`` tuples goes to disk as a sorted run.
     """
 
-    def __init__(self, memory: int):
-        self.memory, self.waiting, self.size, self.runs, self.spilled = memory, [], 0, [], 0
+    def __init__(self, memory: int, ends: list[int]):
+        self.memory, self.ends = memory, np.array(ends, np.int64)
+        self.waiting: list[list[np.ndarray]] = [[] for _ in ends]
+        self.size = 0
 
     def push(self, rows: np.ndarray) -> None:
-        if len(rows):
-            self.waiting.append(rows)
-            self.size += len(rows)
-            if self.size > self.memory:
-                self._spill()
+        edges = np.searchsorted(rows[:, 0], self.ends)
+        low = 0
+        for i in np.flatnonzero(np.diff(edges, prepend=0)).tolist():
+            self.waiting[i].append(rows[low : edges[i]])
+            low = int(edges[i])
+        self.size += len(rows)
+        if self.size > self.memory:
+            self._spill()
 
     def _spill(self) -> None:
-        rows = np.concatenate(self.waiting)
-        rows = rows[np.argsort(rows[:, 0], kind="stable")]
-        kept = np.memmap(tempfile.TemporaryFile(), dtype=np.int64, mode="w+", shape=rows.shape)
-        kept[:] = rows
-        self.runs.append([kept, 0])
-        self.spilled += len(rows)
-        self.waiting, self.size = [], 0
-
-    def pop(self, below: int) -> np.ndarray:
-        """All tuples whose symbol is less than ``below``, in order; later pushes must not be less than it."""
-        parts = []
-        for run in self.runs:
-            rows, start = run
-            end = start + int(np.searchsorted(rows[start:, 0], below))
-            parts.append(np.array(rows[start:end]))
-            run[1] = end
-        self.runs = [run for run in self.runs if run[1] < len(run[0])]
-        if self.waiting:
-            rows = np.concatenate(self.waiting)
-            now = rows[:, 0] < below
-            parts.append(rows[now])
-            self.waiting = [rows[~now]] if not now.all() else []
-            self.size = sum(map(len, self.waiting))
-        rows = np.concatenate(parts) if parts else np.empty((0, 4), np.int64)
+        """Move all tuples in memory to a file, range by range; the ranges keep views of it."""
+        kept = np.memmap(tempfile.TemporaryFile(), dtype=np.int64, mode="w+", shape=(self.size, 4))
+        at = 0
+        for parts in self.waiting:
+            start = at
+            fresh = [p for p in parts if not isinstance(p, np.memmap)]
+            for p in fresh:
+                kept[at : at + len(p)] = p
+                at += len(p)
+            if fresh:
+                parts[:] = [p for p in parts if isinstance(p, np.memmap)] + [kept[start:at]]
+        self.size = 0
+
+    def pop(self, i: int) -> np.ndarray:
+        """All tuples of range ``i``, in order; later pushes must not belong to it."""
+        parts, self.waiting[i] = self.waiting[i], []
+        self.size -= sum(len(p) for p in parts if not isinstance(p, np.memmap))
+        rows = np.concatenate([np.asarray(p) for p in parts]) if parts else np.empty((0, 4), np.int64)
         return rows[np.argsort(rows[:, 0], kind="stable")]
 
 
@@ -153,10 +153,11 @@ def induce(text: Text, target: np.ndarray, count: int, seeds: np.ndarray, seed_l
     Every suffix that is induced begins with a symbol not less than its inducer's, and of one symbol the induced come
     before the seeds.
     """
-    queue = SuffixQueue(memory)
+    ends = text.splitters(memory)
+    queue = SuffixQueue(memory, ends)
     out, out_lcp, done, base, seed_at = scratch(count, np.int64), scratch(count, np.int64), 0, 0, 0
-    for below in text.splitters(memory):
-        waiting = queue.pop(below)
+    for turn, below in enumerate(ends):
+        waiting = queue.pop(turn)
         seed_end = bisect.bisect_left(range(len(seeds)), below, lo=seed_at, key=lambda i: int(text.at(seeds[i : i + 1])[0]))
         own = np.asarray(seeds[seed_at:seed_end])
         m, k = len(waiting), len(waiting) + len(own)
@@ -183,14 +184,14 @@ def induce(text: Text, target: np.ndarray, count: int, seeds: np.ndarray, seed_l
         pos, symbol, follows = np.concatenate(pos), np.concatenate(symbol), np.concatenate(follows)
         kind = np.ones(size, np.int64)  # 0: from the queue, 1: induced inside the range, 2: seed
         kind[:m], kind[m:k] = 0, 2
-        group = np.unique(symbol, return_inverse=True)[1] * 3 + kind
+        group = (np.unique(symbol, return_inverse=True)[1] * 3 + kind) * size
         key = np.arange(size)
-        order = np.lexsort((key, group))
+        order = np.argsort(group + key)
         rank = np.empty(size, np.int64)
         rank[order] = np.arange(size)
         for _ in range(depth - 1):  # a suffix that is n steps from the queue or a seed is in its place after n turns
             key[k:] = rank[follows[k:]]
-            order = np.lexsort((key, group))
+            order = np.argsort(group + key, kind="stable")
             rank[order] = np.arange(size)
         pos_sorted, symbol_sorted, kind_sorted = pos[order], symbol[order], kind[order]
         lcp = np.zeros(size, np.int64)
@@ -208,14 +209,13 @@ def induce(text: Text, target: np.ndarray, count: int, seeds: np.ndarray, seed_l
         first, before, by = (np.concatenate(c) for c in zip(*outside))
         if len(first):
             by = rank[by]
-            turn = np.lexsort((by, first))
-            first, before, by = first[turn], before[turn], by[turn]
+            order = np.lexsort((by, first))
+            first, before, by = first[order], before[order], by[order]
             shared = np.ones(len(first), np.int64)
             near = np.flatnonzero(first[1:] == first[:-1]) + 1
             if len(near):
                 shared[near] = 1 + RangeMinimum(lcp).least(by[near - 1] + 1, by[near])
-            turn = np.argsort(by, kind="stable")
-            queue.push(np.stack([first, base + by, before, shared], axis=1)[turn])
+            queue.push(np.stack([first, base + by, before, shared], axis=1))
         found = kind_sorted != 2
         n = int(found.sum())
         out[done : done + n], out_lcp[done : done + n] = pos_sorted[found], lcp[found]

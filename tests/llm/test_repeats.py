@@ -158,7 +158,7 @@ def test_every_passage_has_one_segment(piece, monkeypatch):
     seen = set()
     for out in repeats._find_anchors(100)(iter([batch])):
         for r in out.to_pylist():
-            start, count = divmod(r["run"], repeats.RUN)
+            start, count = r["run"] // repeats.RUN, r["run"] % repeats.AT
             for p in range(start, start + count):
                 assert (r["doc"], p) not in seen
                 seen.add((r["doc"], p))
