@@ -51,7 +51,7 @@ class Params:
     pr_tol: float = 1e-6
     # communities
     community_min_size: int = 5
-    community_rounds: int = 10
+    community_use_weights: bool = True
     recluster_min_size: int = 30
     recluster_min_subsize: int = 5
     # integration

@@ -116,7 +116,7 @@ def q_ledger_eta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- network (2.B)
-from genenet_spark.operators import analysis, hypergraph, iterative, network, significance  # noqa: E402
+from genenet_spark.operators import analysis, communities, hypergraph, iterative, network, significance  # noqa: E402
 from genenet_spark.params import DEFAULTS, LAYERS  # noqa: E402
 
 # 2.B queries run with all three layers active (weight 1.0 each) so that
@@ -241,7 +241,7 @@ def clustered(spark: SparkSession, sf_dir: str):
     _, graph, layers = network_inputs(spark, sf_dir)
     graph = cut_lineage(graph)
     on_graph = cut_lineage(layers.join(network.graph_nodes(graph), "gene_id", "left_semi"))
-    comms = iterative.communities(graph, on_graph, MULTILAYER)
+    comms = communities.communities(graph, on_graph, MULTILAYER)
     return graph, on_graph, comms
 
 
@@ -255,7 +255,7 @@ def q_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_recluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sub-communities inside communities of >= 30 genes."""
     graph, _, comms = clustered(spark, sf_dir)
-    return iterative.recluster(graph, comms, MULTILAYER)
+    return communities.recluster(graph, comms, MULTILAYER)
 
 
 @register("cluster_jaccard")

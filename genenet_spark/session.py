@@ -89,3 +89,29 @@ def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     path = f"{root}/lineage/{name or uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+class Scratch:
+    """Stored tables of one run: each is written as ``cut_lineage`` does and deleted when its last reader is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root, self.paths = spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/lineage", {}
+
+    def store(self, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Delete the given tables; those that aren't of this run are left alone."""
+        for table in tables:
+            _, path = self.paths.pop(id(table), (None, None))
+            if path:
+                hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+    def drop_all_but(self, *kept: DataFrame) -> None:
+        keep = {id(t) for t in kept}
+        self.drop(*[t for i, (t, _) in list(self.paths.items()) if i not in keep])
