@@ -236,12 +236,18 @@ def q_coreness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iterative.coreness(cut_lineage(graph))
 
 
+#: Raised with every change of C1, so that no table of an older one is read.
+CLUSTER_VERSION = 3
+
+
 def clustered(spark: SparkSession, sf_dir: str):
-    """C1 on every (trait, layer) gene set restricted to the graph."""
+    """C1 on every (trait, layer) gene set restricted to the graph; the communities are stored once (M1), as six queries read them."""
     _, graph, layers = network_inputs(spark, sf_dir)
     graph = cut_lineage(graph)
     on_graph = cut_lineage(layers.join(network.graph_nodes(graph), "gene_id", "left_semi"))
-    comms = communities.communities(graph, on_graph, MULTILAYER)
+    tables = [f"{sf_dir}/{t}.parquet" for t in fx.TABLES]
+    key = materialize.cache_key("communities", CLUSTER_VERSION, FIXTURE_VERSION, inputs=tables, spark=spark)
+    comms = materialize.materialize(spark, key, lambda: communities.communities(graph, on_graph, MULTILAYER))
     return graph, on_graph, comms
 
 
