@@ -44,7 +44,7 @@ class _Shard:
         found, _ = self.index.search(q / norm[:, None], beam)
         out = []
         for i, own in enumerate(query_ids):
-            at = found[i][found[i] >= 0][: 4 * (k + 1)]
+            at = found[i][found[i] >= 0]
             cos = (self.scaled[at] @ q[i]) / (self.norm[at] * norm[i])
             hits = sorted((-c, v) for c, j in zip(cos.tolist(), at.tolist()) for v in self.ids[j] if v != own)
             out += [(own, v, -c) for c, v in hits[:k]]
@@ -92,14 +92,17 @@ def search(vectors: DataFrame, query_every: int = 50, k: int = 5, shard_vectors:
 
     Cases: vectors that are null, empty, zero or hold null, NaN or infinite components take no part, nor do
     rows of null id; vectors are compared with those of their own length only; an id that repeats counts once,
-    with its least vector; equal vectors are one point of the graph that keeps its ``k + 1`` smallest ids, as
-    no other can be among the nearest; extra columns are ignored; an empty table gives no rows.
+    with its least vector; vectors that are equal once divided by their largest component are one point of the graph that
+    keeps its ``k + 1`` smallest ids, as no other can be among the nearest; extra columns are ignored; an empty table gives no rows.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     rows = rows.where("vec_id IS NOT NULL").where(_valid("vector")).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     rows = freeze(rows, "vectors")
+    # Vectors of one direction have the same cosines; scores are taken from the scaled vector, so it stands for all of them.
+    largest = F.array_max(F.transform("vector", lambda c: F.abs(c)))
+    directions = rows.withColumn("m", largest).select("vec_id", F.transform("vector", lambda c: c / F.col("m")).alias("vector"))
     smallest = Window.partitionBy("vector").orderBy("vec_id")
-    points = rows.withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= k + 1).groupBy("vector").agg(
+    points = directions.withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= k + 1).groupBy("vector").agg(
         F.sort_array(F.collect_list("vec_id")).alias("same"))
     points = freeze(points, "points")
     # Shards of each vector length; lengths are few (a row each).

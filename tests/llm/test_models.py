@@ -47,6 +47,18 @@ def test_neighbours_recall_and_scores(spark, sf0001):
     assert total == 5 * sum(v % 50 == 0 for v in x) and hits / total >= 0.9
 
 
+def test_neighbours_of_one_direction_are_the_smallest_ids(spark):
+    """Two hundred multiples of one vector: all cosines are equal, so ties alone decide."""
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal(16)
+    rows = [(i, (base * 2.0 ** (i % 60 - 30)).tolist()) for i in range(200)]
+    out = {}
+    for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), shard_vectors=64).collect():
+        out.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    for q in (0, 50, 100, 150):
+        assert [v for _, v in sorted(out[q])] == [v for v in range(6) if v != q][:5]
+
+
 def test_neighbours_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [1.0, None]), (6, [1.0, 1.0]), (7, [inf, 1.0]),
