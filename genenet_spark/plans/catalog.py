@@ -237,7 +237,7 @@ def q_coreness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Raised with every change of C1, so that no table of an older one is read.
-CLUSTER_VERSION = 3
+CLUSTER_VERSION = 4
 
 
 def clustered(spark: SparkSession, sf_dir: str):
