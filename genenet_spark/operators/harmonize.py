@@ -1,14 +1,15 @@
 """Harmonisation (H1-H6): filters, null-safe semi joins, keep-first de-duplication.
 
 Filter order follows the reference; de-duplication always runs last because it
-keeps the first surviving row per key.
+keeps the first surviving row per key. Tables read with their file order keep the
+first row in the files; others the least by a total order of their columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +21,7 @@ from genenet_spark.functions.rsem import (
     regex_any,
 )
 from genenet_spark.params import BIOTYPE_PROTEIN_CODING, DEFAULTS, Params
+from genenet_spark.sources.parquet import FILE_ORDER
 
 _ORDERABLE = (T.AtomicType, T.StructType, T.ArrayType)
 
@@ -40,9 +42,10 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | Non
     so each map task sends at most one row per key: a key holding a third of the
     rows costs one row per map task in the exchange, not a third of the data.
     """
-    order = list(order) if order is not None else default_tiebreak(df, keys)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= 1).drop("__rn")
+    if order is None:
+        order = [F.col(FILE_ORDER).asc()] if FILE_ORDER in df.columns else default_tiebreak(df, keys)
+    w = Window.partitionBy(*keys).orderBy(*list(order))
+    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= 1).drop("__rn", FILE_ORDER)
 
 
 def _ge(df: DataFrame, c: str, threshold) -> Column:
@@ -54,7 +57,7 @@ def _ge(df: DataFrame, c: str, threshold) -> Column:
 def harmonize_genes(genes: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
     """H1: protein-coding rows, first row per id. Sort by id only at a sink."""
     pc = genes.where(F.col("biotype") == BIOTYPE_PROTEIN_CODING)
-    if order is None:
+    if order is None and FILE_ORDER not in genes.columns:
         order = [F.col("approvedSymbol").asc_nulls_first(), F.col("approvedName").asc_nulls_first()] + [
             c for c in default_tiebreak(pc, ["id", "approvedSymbol", "approvedName"])
         ]
@@ -68,7 +71,7 @@ def interactome_tiebreak(df: DataFrame) -> list[Column]:
 
 
 def harmonize_interactome(
-    interactome: DataFrame, genes: DataFrame, params: Params = DEFAULTS
+    interactome: DataFrame, genes: DataFrame, params: Params = DEFAULTS, order: Sequence[Column] | None = None
 ) -> DataFrame:
     """H2: score >= min, both ends known genes, no self loops, first per directed key."""
     ids = genes.select("id")
@@ -76,7 +79,9 @@ def harmonize_interactome(
     out = is_in(out, "targetA", ids, "id")
     out = is_in(out, "targetB", ids, "id")
     out = out.where(F.col("targetA") != F.col("targetB"))
-    return keep_first(out, ["targetA", "targetB", "sourceDatabase"], interactome_tiebreak(out))
+    if order is None and FILE_ORDER not in out.columns:
+        order = interactome_tiebreak(out)
+    return keep_first(out, ["targetA", "targetB", "sourceDatabase"], order)
 
 
 def harmonize_gwas_common(gwas: DataFrame, genes: DataFrame, params: Params = DEFAULTS) -> DataFrame:
@@ -139,9 +144,18 @@ class Harmonized(dict):
             df = harmonize_diseases(raw["diseases"], self["gwas_common"], self["gwas_rare"])
         else:
             raise KeyError(name)
-        self[name] = df
+        self[name] = df = df.drop(FILE_ORDER)
         return df
 
+    def counted(self, name: str) -> tuple[DataFrame, Observation]:
+        """A table, and the number of its surviving rows (``rows``), noted while an action runs over the table.
+
+        No pass of its own is made. The other tables are built on the uncounted one, so a count holds the rows of one
+        action; ``get`` waits for it.
+        """
+        seen = Observation(f"harmonize_{name}")
+        return self[name].observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
 
-def harmonize_all(raw: dict[str, DataFrame], params: Params = DEFAULTS) -> dict[str, DataFrame]:
+def harmonize_all(raw: dict[str, DataFrame], params: Params = DEFAULTS) -> Harmonized:
     return Harmonized(raw, params)

@@ -6,16 +6,17 @@ Each query reads the driver tables under ``sf_dir`` through the adapters in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genenet_spark.operators import coverage, harmonize, quality
-from genenet_spark.plans import ledger, materialize
+from genenet_spark.plans import ledger, materialize, run
 from genenet_spark.plans.present import presentable
 from genenet_spark.sources import fixtures as fx
-from genenet_spark.session import cut_lineage
+from genenet_spark.session import cut_lineage, ensure_checkpoint_dir
 from genenet_spark.sources import parquet as pq
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +41,7 @@ def _stored(spark: SparkSession, sf_dir: str, dataset: str) -> str:
     tables = [f"{sf_dir}/{t}.parquet" for t in fx.TABLES]
     key = materialize.cache_key("fixture", dataset, FIXTURE_VERSION, inputs=tables, spark=spark)
     materialize.materialize(spark, key, lambda: fx.BUILDERS[dataset](spark, sf_dir))
-    return f"{materialize.table_root(spark)}/{key}"
+    return materialize.location(spark, key)
 
 
 def _reader(dataset: str) -> Query:
@@ -247,7 +248,8 @@ def clustered(spark: SparkSession, sf_dir: str):
     on_graph = cut_lineage(layers.join(network.graph_nodes(graph), "gene_id", "left_semi"))
     tables = [f"{sf_dir}/{t}.parquet" for t in fx.TABLES]
     key = materialize.cache_key("communities", CLUSTER_VERSION, FIXTURE_VERSION, inputs=tables, spark=spark)
-    comms = materialize.materialize(spark, key, lambda: communities.communities(graph, on_graph, MULTILAYER))
+    comms = materialize.materialize(spark, key, lambda: communities.communities(graph, on_graph, MULTILAYER),
+                                    **materialize.policy(MULTILAYER))
     return graph, on_graph, comms
 
 
@@ -299,3 +301,10 @@ def q_global_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranking = analysis.rank_genes(analysis.integrate_layers(_normed(spark, sf_dir), MULTILAYER), MULTILAYER)
     sig = significance.permutation_test(on_graph, comms, MULTILAYER)
     return analysis.global_summary(ranking, comms, sig)
+
+
+@register("export_run")
+def q_export_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 + L3: one run's seven tables, exported and read back."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/export/{uuid.uuid4().hex}"
+    return run.exported(spark, run.export_run(spark, harmonized(spark, sf_dir), root, "run", MULTILAYER), "run")

@@ -8,6 +8,10 @@ dataset's column list. Projection and later filters reach the Parquet scan
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Column with a row's place in the files: file by path, then row number inside it.
+FILE_ORDER = "__at"
 
 # Column lists read by the reference for each dataset.
 GENES_COLUMNS = ["id", "approvedSymbol", "biotype", "approvedName", "genomicLocation"]
@@ -45,38 +49,42 @@ DATASET_COLUMNS = {
 }
 
 
-def read_dataset(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """``SELECT cols FROM <path>/*.parquet``. A missing column fails analysis."""
+def read_dataset(spark: SparkSession, path: str, columns: list[str], ordered: bool = False) -> DataFrame:
+    """``SELECT cols FROM <path>/*.parquet``. A missing column fails analysis.
+
+    ``ordered`` adds ``FILE_ORDER``, by which harmonisation keeps the first row in the files among duplicates.
+    """
     df = (
         spark.read.option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "false")
         .parquet(path)
     )
-    return df.select(*[df[c] for c in columns])
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias(FILE_ORDER)
+    return df.select(*[df[c] for c in columns], *([at] if ordered else []))
 
 
-def read_genes(spark: SparkSession, path: str) -> DataFrame:
-    return read_dataset(spark, path, GENES_COLUMNS)
+def read_genes(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    return read_dataset(spark, path, GENES_COLUMNS, ordered)
 
 
-def read_interactome(spark: SparkSession, path: str) -> DataFrame:
-    return read_dataset(spark, path, INTERACTOME_COLUMNS)
+def read_interactome(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    return read_dataset(spark, path, INTERACTOME_COLUMNS, ordered)
 
 
-def read_gwas_common(spark: SparkSession, path: str) -> DataFrame:
-    return read_dataset(spark, path, GWAS_COMMON_COLUMNS)
+def read_gwas_common(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    return read_dataset(spark, path, GWAS_COMMON_COLUMNS, ordered)
 
 
-def read_gwas_rare(spark: SparkSession, path: str) -> DataFrame:
-    return read_dataset(spark, path, GWAS_RARE_COLUMNS)
+def read_gwas_rare(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    return read_dataset(spark, path, GWAS_RARE_COLUMNS, ordered)
 
 
-def read_expression(spark: SparkSession, path: str) -> DataFrame:
-    return read_dataset(spark, path, EXPRESSION_COLUMNS)
+def read_expression(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    return read_dataset(spark, path, EXPRESSION_COLUMNS, ordered)
 
 
-def read_diseases(spark: SparkSession, path: str) -> DataFrame:
-    return read_dataset(spark, path, DISEASES_COLUMNS)
+def read_diseases(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    return read_dataset(spark, path, DISEASES_COLUMNS, ordered)
 
 
 READERS = {

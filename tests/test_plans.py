@@ -6,8 +6,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from genenet_spark.plans import ledger, materialize, sinks
+from genenet_spark.operators import harmonize
+from genenet_spark.params import DEFAULTS
+from genenet_spark.plans import ledger, materialize, run, sinks
 from genenet_spark.sources import fixtures as fx
+from genenet_spark.sources import parquet as pq
 from genenet_spark.streaming import ledger_stream
 
 
@@ -124,3 +127,99 @@ def test_streaming_ledger_matches_batch(spark, tmp_path, sf0001):
     assert prog.select("window_start", "n_entries", "n_ok").exceptAll(
         batch.select("window_start", "n_entries", "n_ok")).count() == 0
     assert prog.count() > 0
+
+
+def test_versions_are_whole_for_readers_and_writers(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    old = materialize.put(spark.range(5), "k", root)
+    first = materialize.location(spark, "k", root)
+    new = materialize.put(spark.range(7), "k", root)
+    # A reader of the old version goes on reading it; new readers see the new one.
+    assert old.count() == 5 and new.count() == 7 and materialize.get(spark, "k", root).count() == 7
+    # A writer that dies before it points to its version changes nothing.
+    spark.range(9).write.parquet(f"{root}/k/unfinished")
+    assert materialize.get(spark, "k", root).count() == 7
+    assert materialize.forget_old(spark, "k", root) == 0  # written just now
+    assert materialize.forget_old(spark, "k", root, older_than_days=-1.0) == 2
+    assert not os.path.exists(first) and materialize.get(spark, "k", root).count() == 7
+    assert materialize.invalidate(spark, "k", root) and materialize.location(spark, "k", root) is None
+
+
+def test_keys_follow_the_files(spark, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(3).write.parquet(a)
+    keys = [materialize.cache_key("x", inputs=[a, b], spark=spark)]
+    assert materialize.cache_key("x", inputs=[a, b], spark=spark) == keys[0]
+    assert materialize.cache_key("x", inputs=[b, a], spark=spark) == keys[0]
+    spark.range(1).write.parquet(b)
+    keys.append(materialize.cache_key("x", inputs=[a, b], spark=spark))
+    spark.range(3).write.mode("append").parquet(a)
+    keys.append(materialize.cache_key("x", inputs=[a, b], spark=spark))
+    assert len(set(keys)) == 3
+    assert materialize.cache_key("x", inputs=[str(tmp_path / "none")], spark=spark)
+
+
+def test_cache_settings_are_followed(spark, tmp_path):
+    root, calls = str(tmp_path / "tables"), []
+
+    def build():
+        calls.append(1)
+        return spark.range(2)
+
+    for params in (DEFAULTS, DEFAULTS, DEFAULTS.with_(cache_enabled=False)):
+        materialize.materialize(spark, "k", build, root=root, **materialize.policy(params))
+    assert len(calls) == 2
+    os.utime(os.path.join(root, "k", "_SUCCESS"), (1_000_000_000, 1_000_000_000))
+    materialize.materialize(spark, "k", build, root=root, **materialize.policy(DEFAULTS.with_(cache_max_age_days=2.0)))
+    assert len(calls) == 3
+
+
+def test_first_row_in_the_files_is_kept(spark, tmp_path):
+    """Several files with duplicates: the survivor is the first by file name, then by row."""
+    genes, pairs = tmp_path / "genes", tmp_path / "pairs"
+    for d in (genes, pairs):
+        d.mkdir()
+    loc = {"chromosome": "1", "start": 1}
+
+    def gene(i, symbol, biotype="protein_coding"):
+        return {"id": i, "approvedSymbol": symbol, "biotype": biotype, "approvedName": "n", "genomicLocation": loc}
+
+    def pair(a, b, count, scoring=0.9):
+        return {"sourceDatabase": "s", "targetA": a, "intA": "x", "targetB": b, "intB": "y", "count": count, "scoring": scoring}
+
+    pd.DataFrame([gene("g1", "zz"), gene("g1", "aa"), gene("g2", "bb", "lncRNA")]).to_parquet(genes / "part-0.parquet")
+    pd.DataFrame([gene("g1", "a0"), gene("g2", "yy"), gene("g2", "cc")]).to_parquet(genes / "part-1.parquet")
+    pd.DataFrame([pair("g1", "g2", 9, 0.1), pair("g1", "g2", 1), pair("g1", "g2", 5)]).to_parquet(pairs / "part-0.parquet")
+    pd.DataFrame([pair("g1", "g2", 7), pair("g2", "g1", 2), pair("g2", "g1", 8)]).to_parquet(pairs / "part-1.parquet")
+    raw = {"genes": pq.read_genes(spark, str(genes), ordered=True), "interactome": pq.read_interactome(spark, str(pairs), ordered=True)}
+    tables = harmonize.harmonize_all({n: df.repartition(3) for n, df in raw.items()})
+    assert sorted((r.id, r.approvedSymbol) for r in tables["genes"].collect()) == [("g1", "zz"), ("g2", "yy")]
+    assert sorted((r.targetA, r["count"]) for r in tables["interactome"].collect()) == [("g1", 1), ("g2", 2)]
+    assert tables["genes"].columns == pq.GENES_COLUMNS and tables["interactome"].columns == pq.INTERACTOME_COLUMNS
+    # Without the order of the files, a total order of the columns decides.
+    plain = harmonize.harmonize_all({"genes": pq.read_genes(spark, str(genes))})["genes"]
+    assert sorted((r.id, r.approvedSymbol) for r in plain.collect()) == [("g1", "a0"), ("g2", "cc")]
+
+
+def test_surviving_rows_are_counted_while_written(spark, tmp_path, sf0001):
+    tables = harmonize.harmonize_all(fx.load_all(spark, sf0001))
+    root, manifest = str(tmp_path / "h"), str(tmp_path / "manifest")
+    counts = run.store_harmonized(spark, tables, root, manifest)
+    assert counts == {name: tables[name].count() for name in counts} and len(counts) == 6
+    assert counts == {name: materialize.get(spark, name, root).count() for name in counts}
+    entries = {r.paso: r.mensaje for r in spark.read.parquet(manifest).collect()}
+    assert entries == {f"harmonize_{n}": f"{c} rows" for n, c in counts.items()}
+
+
+def test_a_run_exports_its_seven_tables(spark, tmp_path, sf0001):
+    from genenet_spark.plans.catalog import MULTILAYER
+
+    tables = harmonize.harmonize_all(fx.load_all(spark, sf0001))
+    root = str(tmp_path / "out")
+    paths = run.export_run(spark, tables, root, "r1", MULTILAYER.with_(n_permutations=20))
+    seen = {r.tabla: r for r in run.exported(spark, paths, "r1").collect()}
+    assert set(seen) == set(sinks.EXPORT_TABLES) and all(r.n_rows > 0 for r in seen.values())
+    assert seen["comunidades"].n_traits == seen["hypergraph"].n_traits and seen["metricas_red"].n_traits is None
+    entries = spark.read.parquet(f"{root}/manifest").collect()
+    assert sorted(r.paso for r in entries) == sorted(["analysis", *(f"export_{t}" for t in sinks.EXPORT_TABLES)])
+    assert {r.estado for r in entries} == {"ok"}
