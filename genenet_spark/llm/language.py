@@ -32,29 +32,35 @@ SMOOTHING = 0.5
 AMBIGUOUS = 0.6
 #: Languages that one table may hold; 1000 x 16384 counts are 130 MB.
 MAX_LANGUAGES = 1000
-#: Code points of a text whose n-grams are hashed at once; a longer text is taken in pieces that overlap.
+#: Code points of a text whose n-grams are hashed at once; a longer text is taken in pieces.
 PIECE = 1 << 20
 
 
 def bucket_counts(text: str, buckets: int = BUCKETS) -> np.ndarray | None:
-    """Hashed counts of the 1- to 3-grams of lower-cased letters, other runs as one space; None without a letter."""
+    """Hashed counts of the 1- to 3-grams of lower-cased letters, other runs as one space; None without a letter.
+
+    A text longer than ``PIECE`` is hashed piece by piece: the last two codes of one are carried to the next, so that
+    every n-gram counts once, also across a seam.
+    """
     counts = np.zeros(buckets, np.float32)
-    letters = False
     shift = np.uint32(32 - buckets.bit_length() + 1)
-    for at in range(0, max(len(text), 1), PIECE):
-        part = text[max(0, at - 2) : at + PIECE].lower()
-        code = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+    text = text.lower()
+    letters, after_letter, carried = False, True, np.empty(0, np.uint32)
+    for at in range(0, len(text), PIECE):
+        code = np.frombuffer(text[at : at + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)
         is_letter = _letter(code)
-        if not is_letter.any():
-            continue
-        letters = True
-        keep = is_letter | np.concatenate([[True], is_letter[:-1]])  # letters, and the first of each other run
-        code = np.where(is_letter, code, np.uint32(32))[keep]
+        letters |= bool(is_letter.any())
+        keep = is_letter | np.concatenate([[after_letter], is_letter[:-1]])  # letters, and the first of each other run
+        after_letter = bool(is_letter[-1])
+        old = len(carried)
+        code = np.concatenate([carried, np.where(is_letter, code, np.uint32(32))[keep]])
         h = code * np.uint32(0x9E3779B1)
         two = (h[:-1] ^ (h[1:] >> np.uint32(15))) * np.uint32(0x85EBCA77) + code[1:]
         three = (two[:-1] ^ (h[2:] >> np.uint32(13))) * np.uint32(0xC2B2AE3D) + code[2:]
-        for x in (h, two * np.uint32(0x27D4EB2F), three * np.uint32(0x165667B1)):
+        new = h[old:], two[max(old - 1, 0) :] * np.uint32(0x27D4EB2F), three * np.uint32(0x165667B1)
+        for x in new:
             counts += np.bincount(x >> shift, minlength=buckets)
+        carried = code[-2:]
     return counts if letters else None
 
 

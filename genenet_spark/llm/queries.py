@@ -44,7 +44,7 @@ WITH l AS (
   SELECT rid, doc_id, source, unnest(a) AS line, unnest(range(len(a))) AS pos
   FROM (SELECT row_number() OVER () AS rid, doc_id, source, string_split(text, chr(10)) AS a FROM documents)),
 k AS (SELECT *, trim(replace(replace(line, chr(13), ' '), chr(9), ' ')) AS bare FROM l),
-site AS (SELECT source, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source HAVING count(*) >= {lines.MIN_PAGES}),
+site AS (SELECT source, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source),
 bad AS (
   SELECT k.source, bare FROM k JOIN site USING (source) WHERE bare <> ''
   GROUP BY k.source, bare, site.n HAVING count(DISTINCT rid) > 1 AND count(DISTINCT rid) > CAST({lines.MAX_RATIO} AS DOUBLE) * site.n),

@@ -262,8 +262,7 @@ def test_pipeline_stages(spark, sf0001, stages):
     sites = Counter(r.source for r in pages)
     held = Counter((r.source, x) for r in pages for x in {y.strip(" \t\r") for y in r.text.split("\n")} if x)
     for r in pages:
-        left = [x for x in r.text.split("\n") if not x.strip(" \t\r") or sites[r.source] < lines.MIN_PAGES
-                or not (held[r.source, x.strip(" \t\r")] > 1 and held[r.source, x.strip(" \t\r")] > lines.MAX_RATIO * sites[r.source])]
+        left = [x for x in r.text.split("\n") if not x.strip(" \t\r") or not (held[r.source, x.strip(" \t\r")] > 1 and held[r.source, x.strip(" \t\r")] > lines.MAX_RATIO * sites[r.source])]
         assert texts[2][r.doc_id] == "\n".join(left)
     groups = {r.component_id for r in jaccard.link_components(cut, 5, 80).collect()}
     assert set(texts[3]) == groups and len(groups) < len(texts[2])

@@ -40,17 +40,34 @@ def _pages(spark, rows):
 
 def test_line_dedup_edges(spark):
     rows = [(i, "a", f"menu\nonly {i}\n menu\t\n") for i in range(12)] + [(90, "a", None), (91, "a", ""), (92, "a", "free\nfree\n\n")]
-    rows += [(i, "b", "menu\nbody") for i in range(100, 105)]  # too few pages
+    rows += [(i, "b", "menu\nbody") for i in range(100, 109)]  # a small site is cleaned like any other
+    rows += [(110, "c", "menu\nbody")]  # one page repeats nothing
     rows += [(200, None, "menu\nx")] * 12  # no site
     out = {(r.doc_id, r.source): r for r in lines.drop_boilerplate(_pages(spark, rows)).collect()}
     assert out[3, "a"].text == "only 3\n" and (out[3, "a"]["lines"], out[3, "a"].lines_cut) == (4, 2)
     assert out[90, "a"].text is None and out[90, "a"]["lines"] == 0
     assert out[91, "a"].text == "" and out[92, "a"].text == "free\nfree\n\n"
-    assert out[100, "b"].text == "menu\nbody" and out[200, None].text == "menu\nx"
+    assert out[100, "b"].text == "" and out[100, "b"].lines_cut == 2 and out[110, "c"].text == "menu\nbody"
+    assert out[200, None].text == "menu\nx"
     assert lines.drop_boilerplate(_pages(spark, rows)).count() == len(rows)
     assert lines.drop_boilerplate(_pages(spark, rows[:1]).limit(0)).count() == 0
 
 
+def test_line_dedup_planted_boilerplate(spark):
+    """A footer on 8 % of the pages goes in a small, a normal and a hot site; a line on 3 % of them stays."""
+    rows, sites = [], {"small": 25, "normal": 200, "hot": 3000}
+    for site, n in sites.items():
+        for i in range(n):
+            body = f"{site} body {i}\n" + ("license\n" if i % 33 == 32 else "") + f"{site} own {i} " * (40_000 if i == 7 else 1)
+            rows.append((len(rows), site, body + ("\n  footer \r" if i % 25 in (0, 12) else "")))
+    out = lines.drop_boilerplate(_pages(spark, rows)).collect()
+    had = {d: t for d, _, t in rows}
+    for r in out:
+        assert "footer" not in r.text and r.lines_cut == had[r.doc_id].count("footer")
+        assert r.text == had[r.doc_id].replace("\n  footer \r", "")
+    assert any("license" in r.text for r in out if r.source == "hot")
+
+
 def test_line_dedup_threshold_is_exclusive(spark):
     rows = [(i, "a", "twice" if i < 2 else f"own {i}") for i in range(20)]  # 2 of 20 pages: exactly 0.1
     assert all(r.lines_cut == 0 for r in lines.drop_boilerplate(_pages(spark, rows), max_ratio=0.1).collect())
@@ -262,16 +279,39 @@ def test_language_edges(spark):
     assert language.predict(frame.limit(0), model, {"doc_id": "long"}).count() == 0
 
 
-def test_long_texts_are_hashed_whole():
-    text = "ab cd " * 40 + "xyz"
-    whole = language.bucket_counts(text)
-    piece, language.PIECE = language.PIECE, 50
-    try:
-        pieces = language.bucket_counts(text)
-    finally:
-        language.PIECE = piece
-    # Overlaps of two code points count a few n-grams twice, none is lost.
-    assert (pieces >= whole).all() and pieces.sum() < whole.sum() * 1.2
+def _counted_plainly(text, buckets=language.BUCKETS):
+    """The n-gram counts with loops over one code point at a time."""
+    code, last = [], True
+    for c in text.lower():
+        if c.isalpha() or last:
+            code.append(ord(c) if c.isalpha() else 32)
+        last = c.isalpha()
+    counts, cut, m = np.zeros(buckets), 32 - (buckets.bit_length() - 1), (1 << 32) - 1
+    for i, x in enumerate(code):
+        h = [(y * 0x9E3779B1) & m for y in code[i : i + 3]]
+        grams = [h[0]]
+        if len(h) > 1:
+            two = ((h[0] ^ h[1] >> 15) * 0x85EBCA77 + code[i + 1]) & m
+            grams.append(two * 0x27D4EB2F & m)
+        if len(h) > 2:
+            grams.append((((two ^ h[2] >> 13) * 0xC2B2AE3D + code[i + 2]) & m) * 0x165667B1 & m)
+        for g in grams:
+            counts[g >> cut] += 1
+    return counts
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 50, 1 << 20])
+def test_texts_are_hashed_whole(monkeypatch, piece):
+    """Pieces of any length give the counts of the whole text, seams, runs of other characters and odd cases included."""
+    monkeypatch.setattr(language, "PIECE", piece)
+    for text in ("ab cd " * 40 + "xyz", "  --Ab1\n\n cd..", "é ß İ ΣΑΣ  中文 x", "a", "ab", "a  b"):
+        assert (language.bucket_counts(text) == _counted_plainly(text)).all()
+    assert language.bucket_counts("") is None and language.bucket_counts("12 .. 34") is None
+
+
+def test_very_long_text_counts_every_gram_once():
+    text = "plain words " * 250_000  # 3 million characters, two seams
+    assert (language.bucket_counts(text) == _counted_plainly(text)).all()
 
 
 def test_codewords_correct_errors():
