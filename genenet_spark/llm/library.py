@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from importlib.metadata import version
 
 import numpy as np
@@ -12,6 +13,10 @@ import numpy as np
 from genenet_spark.llm.chunks import ChunkMemo
 
 
+#: Words that go to the library in one text.
+RUN_WORDS = 512
+
+
 def tokenizer_version(path: str) -> str:
     """Digest that names a tokenizer: its file's content and the version of the library that reads it."""
     library = "sentencepiece" if path.endswith(".model") else "tokenizers"
@@ -41,6 +46,7 @@ class Library:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark owns the cores
+        self._mark = None
         if path.endswith(".model"):
             import sentencepiece
 
@@ -55,37 +61,57 @@ class Library:
             model.no_padding()
             self._encode = lambda texts: [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
             with open(path, encoding="utf-8") as f:
-                rule = _cut_rule(json.load(f))
+                spec = json.load(f)
+            rule = _cut_rule(spec)
+            if rule == "bare":
+                self._learn_mark(spec["added_tokens"])
             self.n_ids = max(model.get_vocab(with_added_tokens=True).values()) + 1
         self._id_memo = self._count_memo = None
-        self._seeds: set = set()
         if rule != "none":
-            self._id_memo = ChunkMemo(self._bytes, rule == "space")
+            self._id_memo = ChunkMemo(self._word_bytes, rule == "space")
             self._count_memo = ChunkMemo(lambda texts: map(len, self._encode(texts)), rule == "space")
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         return [np.array(ids, "<u4").tobytes() for ids in self._encode(texts)]
 
+    def _learn_mark(self, added: list[dict]) -> None:
+        """An added token to set between words: the library takes texts apart at it before anything else."""
+        if added:
+            self._mark = (added[0]["content"], added[0]["id"])
+            # A word without these can't be part of an added token that reaches over its end.
+            self._ends = re.compile("[" + re.escape("".join(sorted({t["content"][i] for t in added for i in (0, -1)}))) + "]")
+
+    def _word_bytes(self, words: list[str]) -> list[bytes]:
+        """Ids of words, many of them encoded in one call with a mark between."""
+        if self._mark is None or len(words) < 2 or self._ends.search("".join(words)):
+            plain = [] if self._mark is None else [i for i, w in enumerate(words) if not self._ends.search(w)]
+            if len(plain) < 2:
+                return self._bytes(words)
+            other = sorted(set(range(len(words))) - set(plain))
+            out = dict(zip(plain, self._word_bytes([words[i] for i in plain])))
+            out |= dict(zip(other, self._bytes([words[i] for i in other])))
+            return [out[i] for i in range(len(words))]
+        mark, mark_id = self._mark
+        runs = [words[i : i + RUN_WORDS] for i in range(0, len(words), RUN_WORDS)]
+        out: list[bytes] = []
+        for run, ids in zip(runs, self._encode([mark.join(run) for run in runs])):
+            ids = np.array(ids, "<u4")
+            cuts = (np.flatnonzero(ids == mark_id) * 4).tolist()
+            if len(cuts) != len(run) - 1:
+                raise RuntimeError("the tokenizer doesn't keep the mark between words apart")
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]
+        return out
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if self._id_memo is None:
             return self._bytes(texts)
         return [b"".join(found) for found in self._id_memo.values(texts)]
 
-    @property
-    def splits_words(self) -> bool:
-        """Whether the ids of a text are those of its words between white space, one after the other."""
-        return self._id_memo is not None and not self._id_memo.leading_space
-
     def word_ids(self, words: list[str]) -> list[bytes]:
         """Ids of words that white space separates, without the memo."""
-        return self._bytes(words)
-
-    def seed(self, name: object, word_ids: dict[str, bytes]) -> None:
-        """Take over the ids of frequent words, once for each ``name``."""
-        if name not in self._seeds:
-            self._seeds.add(name)
-            self._id_memo.seed(word_ids)
+        return self._word_bytes(words)
 
     def counts(self, texts: list[str]) -> list[int]:
         if self._count_memo is None:

@@ -15,7 +15,6 @@ Blocks in the order of (part, block) hold the documents in ascending id order.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,14 +23,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genenet_spark.llm.chunks import MEMO_CHARS, bare_chunks
-from genenet_spark.llm.common import freeze, least_count, map_batches
+from genenet_spark.llm.common import discard, freeze, map_batches
 from genenet_spark.llm.library import library
 
 #: A block is closed once it has so many ids; a document is never split.
 BLOCK_IDS = 1 << 19
-#: Words whose ids every task has at hand, at most.
-FREQUENT_WORDS = 200_000
 BLOCK_SCHEMA = ("part int, block int, in_part long, n_ids long, doc_ids array<bigint>, lengths array<bigint>, "
                 "control binary, data binary")
 #: Data bytes of the four ids of each control byte, and the bits that those leave of four bytes.
@@ -64,84 +60,33 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return four.copy().view("<u4").ravel() & KEPT_BITS[size]
 
 
-def _ids(lib, texts: list[str], end_id: int) -> list[np.ndarray]:
-    end = np.array([end_id], "<u4").tobytes()
-    return [np.frombuffer(raw + end, "<u4") for raw in lib.ids(texts)]
-
-
-def _id_counts(tokenizer: str, end_id: int):
-    """Counts of the ids of whole texts."""
+def _encoded(tokenizer: str, end_id: int, kind: str):
+    """``doc_id, h, ids`` of whole texts, end id included, as little-endian integers of ``kind``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib = library(tokenizer)
-        seen = np.zeros(max(lib.n_ids, end_id + 1), np.int64)
+        end = np.array([end_id], kind).tobytes()
         for batch in batches:
-            for ids in lib.ids([x or "" for x in batch.column(0).to_pylist()]):
-                seen += np.bincount(np.frombuffer(ids, "<u4"), minlength=len(seen))
-        used = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(seen[used])], names=["id", "n"])
+            ids = [np.frombuffer(raw, "<u4").astype(kind).tobytes() + end for raw in lib.ids([x or "" for x in batch.column(2).to_pylist()])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["doc_id", "h", "ids"])
 
     return run
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
-
-    def send() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
-
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            seen.update(bare_chunks(text or ""))
-            if len(seen) > 500_000:
-                yield send()
-                seen.clear()
-    yield send()
-
-
-def _word_ids(tokenizer: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lib = library(tokenizer)
-        for batch in batches:
-            ids = lib.word_ids(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["word", "n", "ids"])
-
-    return run
-
-
-def _weighted_id_counts(n_ids: int):
+def _id_counts(n_ids: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(n_ids, np.int64)
         for batch in batches:
-            ids = batch.column(1).to_pylist()
-            times = np.repeat(batch.column(0).to_numpy(), [len(x) // 4 for x in ids])
-            np.add.at(seen, np.frombuffer(b"".join(ids), "<u4"), times)
+            seen += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), minlength=n_ids)
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(seen[used])], names=["id", "n"])
 
     return run
 
 
-def _frequencies(texts: DataFrame, tokenizer: str, end_id: int) -> tuple[DataFrame, dict[str, bytes]]:
-    """(counts by id of all texts without end ids, ids of the most frequent words).
-
-    Where the tokenizer's ids are those of words, each distinct word is encoded once in the whole job.
-    """
-    lib = library(tokenizer)
-    if not lib.splits_words:
-        return map_batches(texts, _id_counts(tokenizer, end_id), "id long, n long"), {}
-    words = map_batches(texts, _word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    words = freeze(map_batches(words, _word_ids(tokenizer), "word string, n long, ids binary"), "words")
-    counted = map_batches(words.select("n", "ids"), _weighted_id_counts(max(lib.n_ids, end_id + 1)), "id long, n long")
-    short = words.where(F.length("word") <= MEMO_CHARS)
-    frequent = short.where(F.col("n") >= least_count(short, FREQUENT_WORDS)).select("word", "ids").toPandas()
-    return counted, dict(zip(frequent["word"], map(bytes, frequent["ids"])))
-
-
-def _blocks(tokenizer: str, end_id: int, ranks, words, name: str, block_ids: int):
+def _blocks(ranks, kind: str, block_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lib, rank_of = library(tokenizer), ranks.value
-        lib.seed(name, words.value)
+        rank_of = ranks.value
         part, block = TaskContext.get().partitionId(), 0
         held: list[np.ndarray] = []
         docs: list[int | None] = []
@@ -157,7 +102,8 @@ def _blocks(tokenizer: str, end_id: int, ranks, words, name: str, block_ids: int
                 names=["part", "block", "in_part", "n_ids", "doc_ids", "lengths", "control", "data"])
 
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), _ids(lib, [x or "" for x in batch.column(1).to_pylist()], end_id)):
+            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = np.frombuffer(raw, kind)
                 held.append(ids)
                 docs.append(doc)
                 n += len(ids)
@@ -174,30 +120,32 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2
                      block_ids: int = BLOCK_IDS, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every whole text, append ``end_id`` to each and write a token file in ascending id order.
 
-    Two passes over the texts: one counts words and so ids (a table no larger than the vocabulary goes to the
-    driver, and the ids of at most ``FREQUENT_WORDS`` words), one sorts the texts by range of id and writes blocks. Cases: null text is the empty text (only ``end_id``);
+    Every text is encoded once and its ids are stored, in two bytes each where the vocabulary allows; ids are counted from
+    there (a table no larger than the vocabulary goes to the driver), sorted by range of doc id and written as blocks, and
+    the stored ids are deleted. Cases: null text is the empty text (only ``end_id``);
     null ids come first; rows of one id are in order of their text's hash; repeated rows are all written;
     other columns are ignored; an empty table writes a file with no blocks.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     n_ids = max(library(tokenizer).n_ids, end_id + 1)
-    counted, words = _frequencies(rows.select("text"), tokenizer, end_id)
+    kind = "<u2" if n_ids <= 1 << 16 else "<u4"
+    rows = rows.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    encoded = freeze(map_batches(rows, _encoded(tokenizer, end_id, kind), "doc_id long, h long, ids binary"), "encoded")
+    counted = map_batches(encoded.select("ids"), _id_counts(n_ids, kind), "id long, n long")
     seen = counted.groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # at most a row an id of the vocabulary
     counts = np.zeros(n_ids, np.int64)
-    counts[seen["id"].to_numpy()] = seen["n"].to_numpy()
-    counts[end_id] += rows.count()
+    counts[seen["id"].to_numpy(int)] = seen["n"].to_numpy(int)
     by_rank = np.lexsort((np.arange(n_ids), -counts))
     rank_of = np.empty(n_ids, np.uint32)
     rank_of[by_rank] = np.arange(n_ids, dtype=np.uint32)
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(by_rank)], "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
 
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(partitions, "doc_id", "h")
-    ordered = ordered.sortWithinPartitions("doc_id", "h").select("doc_id", "text")
-    ranks = spark.sparkContext.broadcast(rank_of)
-    blocks = map_batches(ordered, _blocks(tokenizer, end_id, ranks, spark.sparkContext.broadcast(words), path, block_ids), BLOCK_SCHEMA)
+    ordered = encoded.repartitionByRange(partitions, "doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "ids")
+    blocks = map_batches(ordered, _blocks(spark.sparkContext.broadcast(rank_of), kind, block_ids), BLOCK_SCHEMA)
     blocks.write.option("compression", "zstd").parquet(f"{path}/blocks")
+    discard(encoded)
 
 
 def _documents(table, parts):

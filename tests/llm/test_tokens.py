@@ -170,3 +170,16 @@ def test_op3_whole_text_tokenizer(spark):
     byte = Tokenizer.from_file(BYTE)
     total = sum(len(byte.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in _edge_rows())
     assert token_file.read_token_file(spark, path).groupBy().sum("n_tokens").collect()[0][0] == total
+
+
+def test_words_in_one_call_have_the_ids_of_words_alone():
+    """Words joined by a mark, among them the mark itself, its parts, empty-looking and very long ones."""
+    lib, plain = Library(WORD), Tokenizer.from_file(WORD)
+    rng = random.Random(3)
+    words = ["<|endoftext|>", "<|startoftext|>", "a<|endoftext|>b", "<", "|>", "<|", "endoftext", "x" * 5000, "\u0301", "\ufb01n", "\u0130I", "it's"]
+    words += ["".join(rng.choice("abcdeé中'.-<|>09\u0301") for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    want = [np.array(plain.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    assert lib.word_ids(words) == want
+    clean = [i for i, w in enumerate(words) if not set(w) & set("<>")]
+    assert lib.word_ids([words[i] for i in clean]) == [want[i] for i in clean]
+    assert lib.word_ids([]) == [] and lib.word_ids(["<|endoftext|>"]) == want[:1]
