@@ -352,18 +352,31 @@ SELECT src, dst, weight / sum(weight) OVER (PARTITION BY src) AS weight FROM ded
 }
 
 
+#: (trait, layer) keys that stand side by side as columns in the rank rounds.
+PPR_BLOCK = 32
+
+
 def _ppr_ctes(iterations: int, alpha: float) -> dict[str, tuple[list[str], str]]:
+    """Rounds over rows (block of keys, node) with a column for each key, so that an edge is joined once a block."""
+    cols = [f"v{j}" for j in range(PPR_BLOCK)]
+    pick = ", ".join(f"sum(CASE WHEN k % {PPR_BLOCK} = {j} THEN seed ELSE 0.0 END) AS {c}" for j, c in enumerate(cols))
     out: dict[str, tuple[list[str], str]] = {
-        "r0": (["seeds"], "SELECT trait_id, capa, gene_id AS node, seed AS rank FROM seeds"),
+        "keyed": (["seeds"], """
+SELECT *, dense_rank() OVER (ORDER BY trait_id, capa) - 1 AS k FROM seeds"""),
+        "r0": (["keyed"], f"SELECT k // {PPR_BLOCK} AS block, gene_id AS node, {pick} FROM keyed GROUP BY ALL"),
+        "restart": (["r0"], f"SELECT block, node, {', '.join(f'{alpha} * {c} AS {c}' for c in cols)} FROM r0"),
     }
+    walk = ", ".join(f"{1.0 - alpha} * r.{c} * e.weight AS {c}" for c in cols)
+    total = ", ".join(f"sum({c}) AS {c}" for c in cols)
     for i in range(1, iterations + 1):
-        out[f"r{i}"] = ([f"r{i - 1}", "tedges", "seeds"], f"""
-SELECT coalesce(w.trait_id, s.trait_id) AS trait_id, coalesce(w.capa, s.capa) AS capa,
-       coalesce(w.node, s.gene_id) AS node,
-       {alpha} * coalesce(s.seed, 0.0) + {1.0 - alpha} * coalesce(w.rank, 0.0) AS rank
-FROM (SELECT r.trait_id, r.capa, e.dst AS node, sum(r.rank * e.weight) AS rank
-      FROM r{i - 1} r JOIN tedges e ON r.node = e.src GROUP BY ALL) w
-FULL OUTER JOIN seeds s ON w.trait_id = s.trait_id AND w.capa = s.capa AND w.node = s.gene_id""")
+        out[f"r{i}"] = ([f"r{i - 1}", "tedges", "restart"], f"""
+SELECT block, node, {total} FROM (
+  SELECT r.block, e.dst AS node, {walk} FROM r{i - 1} r JOIN tedges e ON r.node = e.src
+  UNION ALL SELECT * FROM restart) GROUP BY block, node""")
+    out["ranks"] = ([f"r{iterations}", "keyed"], f"""
+SELECT t.trait_id, t.capa, x.node AS gene_id, x.rank
+FROM (SELECT node, block * {PPR_BLOCK} + unnest(range({PPR_BLOCK})) AS k, unnest([{', '.join(cols)}]) AS rank FROM r{iterations}) x
+JOIN (SELECT DISTINCT k, trait_id, capa FROM keyed) t ON t.k = x.k WHERE x.rank > 0""")
     return out
 
 
@@ -431,8 +444,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY trait_id ORDER BY score DESC, ge
              count(*) OVER (PARTITION BY trait_id) AS n_genes
       FROM integrated WHERE score >= 0.1)
 WHERE rank <= ceil(0.25 * n_genes)""")
-    last = f"r{propagation_iterations}"
-    q["propagate"] = w([last], f"SELECT trait_id, capa, node AS gene_id, round(rank, 6) + 0.0 AS rank FROM {last}",
+    q["propagate"] = w(["ranks"], "SELECT trait_id, capa, gene_id, round(rank, 6) + 0.0 AS rank FROM ranks",
                        _ppr_ctes(propagation_iterations, alpha))
     xl = f"x{hub_iterations}"
     q["hub_score"] = w([xl], f"SELECT node AS gene_id, round(x, 6) + 0.0 AS hub_score FROM {xl}",
