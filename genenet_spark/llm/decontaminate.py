@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from genenet_spark.llm.common import freeze
+from genenet_spark.llm.common import discard, freeze
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -87,6 +87,7 @@ def leaks(docs: DataFrame, items: DataFrame, words: int = WORDS, threshold: floa
     same = (F.col("doc") == F.col("__d")) & F.col("item_id").eqNullSafe(F.col("__i"))
     pairs = pairs.join(candidates.select(F.col("doc").alias("__d"), F.col("item_id").alias("__i")), same, "left_semi")
     found = freeze(pairs.select("doc", "item_id", "shared", F.col("size").alias("item_shingles")), "leaks")
+    discard(index, probes, candidates)
     return rows.select("doc_id", "doc").join(found, "doc").select(
         "doc_id", "item_id", "shared", "item_shingles", (F.col("shared") / F.col("item_shingles")).alias("containment"))
 

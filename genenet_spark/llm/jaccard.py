@@ -42,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genenet_spark.llm.common import discard, free_shuffles, freeze, map_batches
@@ -337,6 +337,7 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     """
     signed, label, classes, rows = _labelled(docs, n, percent, id_col, text_col)
     links = _linked(rows, classes, label, n, percent, pairs=False).groupBy("set").agg(F.sum("links").alias("links"))
+    discard(classes)
     label = label.join(links, "set", "left")
     return signed.select("doc_id", F.col("n").alias("n_shingles"), "set").join(label, "set", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -346,16 +347,18 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
 def linked_classes(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(``a, b`` of every linked pair of classes, ``doc_id, set`` of each input row: its class). Rows of one class are all linked."""
     signed, label, classes, rows = _labelled(docs, n, percent, id_col, text_col)
-    return _linked(rows, classes, label, n, percent, pairs=True), signed.where("n > 0").select("doc_id", "set")
+    links = _linked(rows, classes, label, n, percent, pairs=True)
+    discard(classes, label)
+    return links, signed.where("n > 0").select("doc_id", "set")
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input rows without near duplicates: one row of each component stays.
 
     It is the row of the smallest id (a null id only where all are null), of rows of that id the one of the
-    least text hash, of identical ones any. Rows without words are linked with nothing and stay.
+    least text hash, of those the first by its other columns (as JSON). Rows without words are linked with nothing and stay.
     """
-    signed, label, _, _ = _labelled(docs, n, percent, id_col, text_col)
+    signed, label, classes, _ = _labelled(docs, n, percent, id_col, text_col)
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     rows = signed.where("n > 0").join(label.select("set", "comp"), "set").select("comp", row.alias("row"))
     first = rows.groupBy("comp").agg(F.min("row").alias("row"))
@@ -363,11 +366,15 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_
     gone = freeze(gone.select(F.col("row.doc_id").alias("__id"), F.col("row.text_key").alias("__key")), "dropped")
     repeated = signed.where("n > 0").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     repeated = freeze(repeated.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")), "repeated")
+    discard(signed, label, classes)
     key = F.xxhash64(F.col(text_col).cast("string").cast("binary"))
     same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
     kept = docs.join(gone, same, "left_anti")
     alone = kept.join(repeated, same, "left_anti")
-    one = kept.join(repeated, same, "left_semi").withColumn("__key", key).dropDuplicates([id_col, "__key"]).drop("__key")
+    others = F.to_json(F.struct(*[F.col(c) for c in docs.columns if c not in (id_col, text_col)], F.lit(0).alias("__none")))
+    order = Window.partitionBy(id_col, "__key").orderBy("__others")
+    one = kept.join(repeated, same, "left_semi").withColumns({"__key": key, "__others": others})
+    one = one.withColumn("__place", F.row_number().over(order)).where("__place = 1").select(docs.columns)
     return alone.unionByName(one)
 
 
@@ -418,7 +425,7 @@ def _labelled(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str)
         member.join(groups.where("members > 1").select("grp", "n"), ["grp", "n"], "left_semi").select(
             F.xxhash64("grp", "n", F.lit("group")).alias("value"), "grp", "n", "set", "comp"))
     placed = freeze(_open(placed.select("value", "set", "n", "comp")), "open")
-    discard(index)
+    discard(index, groups, *([comp] if found else []))
     free_shuffles(spark)
     for best in (True, False):  # the first pass joins most of a group of near copies, the second one is complete
         blocks = F.ceil(F.col("members") / BLOCK).cast("int")
@@ -432,10 +439,11 @@ def _labelled(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str)
         if len(found) == before and best:
             break  # no pair at all passes the bitmaps
         if best:
-            new = components(_union(found)).select(F.col("node").alias("set"), F.col("comp").alias("joined"))
+            comp = components(_union(found))
+            new = comp.select(F.col("node").alias("set"), F.col("comp").alias("joined"))
             moved = placed.join(new, "set", "left").select("value", "set", "n", F.coalesce("joined", "comp").alias("comp"))
             old, placed = placed, freeze(_open(moved), "open")
-            discard(old)
+            discard(old, comp)
             free_shuffles(spark)
     discard(placed)
     every = _union(found) if found else classes.select(F.col("set").alias("a"), F.col("set").alias("b")).limit(0)
@@ -443,7 +451,10 @@ def _labelled(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str)
     known = classes.select("set", "least").join(comp.withColumnRenamed("node", "set"), "set", "left").withColumn("comp", F.coalesce("comp", "set"))
     lowest = known.groupBy("comp").agg(F.min("least").alias("component_id"))
     label = known.join(lowest, "comp")
-    return signed, freeze(label.select("set", "comp", "component_id"), "labels"), classes, rows
+    label = freeze(label.select("set", "comp", "component_id"), "labels")
+    discard(comp, *found)
+    free_shuffles(spark)
+    return signed, label, classes, rows
 
 
 def _linked(rows: DataFrame, classes: DataFrame, label: DataFrame, n: int, percent: int, pairs: bool) -> DataFrame:
@@ -459,6 +470,7 @@ def _linked(rows: DataFrame, classes: DataFrame, label: DataFrame, n: int, perce
     worked = worked.select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set", "n", "bits", "text")
     worked = worked.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "block", "set")
     links = freeze(map_batches(worked, _all_links(n, percent, pairs), "a binary, b binary" if pairs else "set binary, links long"), "all-links")
+    discard(member)
     free_shuffles(rows.sparkSession)
     return links
 
@@ -494,6 +506,7 @@ def _joined(rows: DataFrame, classes: DataFrame, pairs: DataFrame, found: list[D
     free_shuffles(spark)
     for turn in range(VERIFY_ROUNDS):
         if todo.isEmpty():
+            discard(todo)
             break
         now = todo
         if turn < VERIFY_ROUNDS - 1:
@@ -503,6 +516,7 @@ def _joined(rows: DataFrame, classes: DataFrame, pairs: DataFrame, found: list[D
         links = _verified(rows, now, n, percent)
         found.append(links)
         if turn == VERIFY_ROUNDS - 1:
+            discard(todo)
             break
         comp = components(_union(found))
         left = todo.join(now.select("a", "b"), ["a", "b"], "left_anti")
@@ -510,7 +524,7 @@ def _joined(rows: DataFrame, classes: DataFrame, pairs: DataFrame, found: list[D
             left = left.join(comp.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}")), c, "left")
         left = left.where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select(*todo.columns)
         old, todo = todo, freeze(left, "candidates")
-        discard(old, now)
+        discard(old, now, comp)
         free_shuffles(spark)
 
 
@@ -518,14 +532,14 @@ def _verified(rows: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFr
     """The pairs ``a, b`` whose texts are links."""
     spark = rows.sparkSession
     wanted = freeze(pairs.select(F.col("key_a").alias("text_key")).union(pairs.select("key_b")).distinct(), "wanted")
-    if wanted.count() <= BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)  # 8 bytes each; beyond the bound it is a shuffled join
-    texts = rows.select("text_key", "text").join(wanted, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
+    # 8 bytes each; beyond the bound it is a shuffled join
+    keys = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
+    texts = rows.select("text_key", "text").join(keys, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
     texts = freeze(texts, "texts")
     free_shuffles(spark)
     both = pairs.join(texts.withColumnRenamed("text_key", "key_b").withColumnRenamed("text", "text_b"), "key_b")
     both = both.join(texts.withColumnRenamed("text_key", "key_a").withColumnRenamed("text", "text_a"), "key_a")
     links = freeze(map_batches(both.select("a", "b", "text_a", "text_b"), _verify(n, percent), "a binary, b binary"), "links")
-    discard(texts)
+    discard(texts, wanted)
     free_shuffles(spark)
     return links

@@ -2,12 +2,14 @@
 
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
 import pytest
 
 from genenet_spark.llm import chat, decontaminate, jaccard, language, lines, queries
+from genenet_spark.session import ensure_checkpoint_dir
 
 TABLES = ["documents", "benchmark", "conversations"]
 CLASH = "n int, set string, comp string, row string, lines_cut string, words string, site string, line string"
@@ -215,6 +217,26 @@ def test_jaccard_keep_one(spark):
     assert jaccard.keep_one(frame.limit(0)).count() == 0
 
 
+def test_jaccard_keep_one_of_repeated_ids_and_texts(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, m, None) for m in (5, 3, 9)] + [(1, text, None, {"k": 1}), (2, text, 0, None), (3, "", 8, None), (3, "", 7, None)]
+    expected = None
+    for turn in range(3):  # whatever order the rows come in
+        random.Random(turn).shuffle(rows)
+        kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string, m long, extra map<string,int>").repartition(3 + turn))
+        got = sorted((r.doc_id, r.m, str(r.extra)) for r in kept.collect())
+        assert [g[0] for g in got] == [1, 3, 3]  # texts without words stay, all of them
+        expected = expected or got
+        assert got == expected
+
+
+def test_jaccard_deletes_what_it_stored(spark):
+    root = Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "llm"
+    before = set(root.glob("*"))
+    jaccard.keep_one(spark.createDataFrame(_near_rows(), "doc_id long, text string")).count()
+    assert sorted(p.name.rsplit("-", 1)[0].split("-")[0] for p in set(root.glob("*")) - before) == ["dropped", "repeated"]
+
+
 # -- 9: chat ---------------------------------------------------------------------
 
 
