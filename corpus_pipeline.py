@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genenet_spark.llm import bpe, decontaminate, jaccard, language, lines
-from genenet_spark.llm.common import freeze, table
+from genenet_spark.llm.common import discard, freeze, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +54,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage but the last is stored and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; every stage but the last is stored, read again and deleted after the next one."""
+    docs, stored = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = freeze(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        discard(*stored)
+        stored = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
