@@ -11,7 +11,7 @@ import pytest
 from genenet_spark.llm import chat, decontaminate, jaccard, language, lines, queries
 from genenet_spark.session import ensure_checkpoint_dir
 
-TABLES = ["documents", "benchmark", "conversations"]
+TABLES = ["documents", "benchmark", "conversations", "embeddings"]
 CLASH = "n int, set string, comp string, row string, lines_cut string, words string, site string, line string"
 CLASH_ROW = (1, "x", "x", "x", "x", "x", "x", "x")
 
