@@ -58,8 +58,10 @@ LINK_BLOCK = 512
 VERIFY_ROUNDS = 3
 #: Keys of candidate texts that are broadcast at most: 16 MB.
 BROADCAST_KEYS = 2_000_000
-#: Bits of the parity bitmap of a set.
-BITMAP = 1024
+#: Bits of the parity bitmap of a set: a power of two, least and most.
+BITMAP, WIDEST = 1024, 1 << 20
+#: Bytes of bitmaps that are compared at once.
+COMPARED = 32 << 20
 
 
 class _WordHashes(dict):
@@ -95,6 +97,51 @@ def shingle_set(text: bytes, n: int) -> np.ndarray:
     return np.unique(out)
 
 
+def bitmap(s: np.ndarray, percent: int) -> bytes:
+    """Parity bitmap of a set, wide enough to tell it from an unlike one of its size.
+
+    Half the bits of two unlike sets differ at most, whatever their size, so sets of more shingles than bits
+    need wider bitmaps for the bound on the symmetric difference to bite.
+    """
+    width, unlike = BITMAP, 5 * (100 - percent) * len(s) // (100 + percent)
+    while width < min(unlike, WIDEST):
+        width *= 2
+    bits = np.bincount((s >> np.uint64(17)).astype(np.int64) & (width - 1), minlength=width) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
+class Bitmaps:
+    """The bitmaps of many sets. Those of two widths are compared at the lesser: the wider one folds to it by exclusive or."""
+
+    def __init__(self, raw: list[bytes]):
+        self.raw, self.width = raw, np.array(list(map(len, raw)), np.int64)
+        self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _of_width(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """A row of ``width`` bytes for each bitmap at least as wide, and the row's place by the bitmap's."""
+        if width not in self.folded:
+            place = np.cumsum(self.width >= width) - 1
+            rows = np.empty((int(place[-1]) + 1, width // 8), np.uint64)
+            for w in np.unique(self.width[self.width >= width]).tolist():
+                at = np.flatnonzero(self.width == w)
+                own = np.frombuffer(b"".join([self.raw[i] for i in at.tolist()]), np.uint64).reshape(len(at), w // width, width // 8)
+                rows[place[at]] = np.bitwise_xor.reduce(own, axis=1)
+            self.folded[width] = rows, place
+        return self.folded[width]
+
+    def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Number of differing bits of the sets ``a`` and ``b``, place by place: no more than their symmetric difference."""
+        width = np.minimum(self.width[a], self.width[b])
+        out = np.empty(len(a), np.int64)
+        for w in np.unique(width).tolist():
+            rows, place = self._of_width(w)
+            at = np.flatnonzero(width == w)
+            for i in range(0, len(at), max(1, COMPARED // w)):
+                some = at[i : i + max(1, COMPARED // w)]
+                out[some] = np.bitwise_count(rows[place[a[some]]] ^ rows[place[b[some]]]).sum(axis=-1, dtype=np.int64)
+        return out
+
+
 def _frequent(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -129,7 +176,7 @@ def _signatures(n: int, percent: int, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, place = frequent.value
         for batch in batches:
-            size, digest, prefix, group, bitmap = [], [], [], [], []
+            size, digest, prefix, group, bits = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text or b"", n)
                 size.append(len(s))
@@ -143,11 +190,10 @@ def _signatures(n: int, percent: int, frequent):
                     s_ordered = s[:p]
                 prefix.append(s_ordered.view(np.int64))
                 group.append(xxhash.xxh3_64_intdigest(s_ordered.tobytes(), seed=len(s)) - (1 << 63) if len(s) else None)
-                bits = np.bincount((s >> np.uint64(17)).astype(np.int64) & (BITMAP - 1), minlength=BITMAP) & 1
-                bitmap.append(np.packbits(bits.astype(np.uint8)).tobytes())
+                bits.append(bitmap(s, percent))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(prefix, pa.list_(pa.int64())), pa.array(group, pa.int64()), pa.array(bitmap, pa.binary())],
+                 pa.array(prefix, pa.list_(pa.int64())), pa.array(group, pa.int64()), pa.array(bits, pa.binary())],
                 names=["doc_id", "text_key", "n", "set", "prefix", "grp", "bits"])
 
     return run
@@ -161,8 +207,8 @@ def _may_link(percent: int):
             col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             if not batch.num_rows:
                 continue
-            bits = [np.frombuffer(b"".join(col[c].to_pylist()), np.uint64).reshape(-1, BITMAP // 64) for c in ("bits_a", "bits_b")]
-            differ = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
+            at = np.arange(batch.num_rows)
+            differ = Bitmaps(col["bits_a"].to_pylist() + col["bits_b"].to_pylist()).differ(at, at + batch.num_rows)
             total = col["n_a"].to_numpy().astype(np.int64) + col["n_b"].to_numpy()
             # J >= t  iff  |A xor B| <= (1 - t) / (1 + t) * (|A| + |B|)
             keep = pa.array(differ * (100 + percent) <= (100 - percent) * total)
@@ -177,7 +223,8 @@ def _compare(percent: int, best: bool):
     """Pairs of different components inside each list ``(value, i, j)`` that sizes and bitmaps allow.
 
     Rows come sorted by list, then size. A list with i = j is compared within itself, else its block i with block j.
-    With ``best``, only the most promising pair of each class of a list: no more rows than the list has.
+    With ``best``, only the most promising pair of each class of a list: no more rows than the list has, and none only
+    where no pair of the list is allowed. Rows are ``a, b, value``.
     """
 
     def chosen(a: np.ndarray, b: np.ndarray, share: np.ndarray) -> np.ndarray:
@@ -197,7 +244,7 @@ def _compare(percent: int, best: bool):
             sets, n = table.column(3), table.column(4).to_numpy()
             comp = table.column(5).combine_chunks().dictionary_encode().indices.to_numpy()
             block = table.column(6).to_numpy()
-            mask = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint64).reshape(-1, BITMAP // 64)
+            mask = Bitmaps(table.column(7).to_pylist())
             start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
             size = np.diff(np.append(start, len(key)))
             for m in np.unique(size[(size > 1) & (size <= 64)]).tolist():  # short lists of one length together
@@ -216,7 +263,7 @@ def _compare(percent: int, best: bool):
         def passed(sets, n, comp, block, mask, key, a, b) -> Iterator[pa.RecordBatch]:
             ok = (comp[a] != comp[b]) & (n[b] * percent <= n[a] * 100) & ((key[a, 1] == key[a, 2]) | (block[a] != block[b]))
             a, b = a[ok], b[ok]
-            differ = np.bitwise_count(mask[a] ^ mask[b]).sum(axis=-1, dtype=np.int32)
+            differ = mask.differ(a, b)
             ok = differ * (100 + percent) <= (100 - percent) * (n[a] + n[b])
             if ok.any():
                 a, b, differ = a[ok], b[ok], differ[ok]
@@ -226,7 +273,7 @@ def _compare(percent: int, best: bool):
                     pick = chosen(a, b, share) if a[0] != a[-1] else np.array([np.argmin(share)])
                     a, b = a[pick], b[pick]
                 left, right = (sets.take(pa.array(x)).combine_chunks() for x in (a, b))
-                yield pa.RecordBatch.from_arrays([left, right], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([left, right, pa.array(key[a, 0])], names=["a", "b", "value"])
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
@@ -258,7 +305,7 @@ def _all_links(n: int, percent: int, pairs: bool):
     def worked(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         block, own, size = (np.array([r[c] for r in rows]) for c in (3, 5, 6))
         names = [r[4] for r in rows]
-        mask = np.frombuffer(b"".join(r[7] for r in rows), np.uint64).reshape(-1, BITMAP // 64)
+        mask = Bitmaps([r[7] for r in rows])
         sets = [shingle_set(r[8], n) for r in rows]
         values, place = np.unique(np.concatenate(sets), return_inverse=True)
         ends = np.cumsum(size)
@@ -268,7 +315,7 @@ def _all_links(n: int, percent: int, pairs: bool):
         for a in range(len(rows) - 1):
             b = np.arange(a + 1, len(rows))
             b = b[(np.minimum(size[b], size[a]) * 100 >= np.maximum(size[b], size[a]) * percent) & (own[a] | (block[b] != block[a]))]
-            differ = np.bitwise_count(mask[a] ^ mask[b]).sum(axis=-1, dtype=np.int64)
+            differ = mask.differ(np.full(len(b), a), b)
             b = b[differ * (100 + percent) <= (100 - percent) * (size[a] + size[b])]
             if not len(b):
                 continue
@@ -398,17 +445,14 @@ def _labelled(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str)
     classes = freeze(classes, "classes")
     groups = freeze(classes.groupBy("grp", "n").agg(F.min("set").alias("head"), F.count(F.lit(1)).alias("members")), "groups")
 
-    # The prefix index: values that two groups or more have.
+    # The prefix index: values that two groups or more of fitting sizes have.
     prefixes = freeze(signed.where("n > 0").select("grp", "n", "prefix").dropDuplicates(["grp", "n"]), "prefixes")
-    posts = prefixes.select(F.explode("prefix").alias("value"), "grp", "n")
-    shared = posts.groupBy("value").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("value")
-    index = freeze(posts.join(shared, "value", "left_semi"), "index")
+    index = freeze(_index(prefixes, percent), "index")
     discard(prefixes)
     free_shuffles(spark)
-    pivot = index.groupBy("value").agg(F.min(F.struct("grp", "n")).alias("pivot"))
 
     head = groups.select("grp", "n", "head")
-    star = index.join(pivot, "value").where((F.col("grp") != F.col("pivot.grp")) | (F.col("n") != F.col("pivot.n"))).where(
+    star = index.where((F.col("grp") != F.col("pivot.grp")) | (F.col("n") != F.col("pivot.n"))).where(
         _sizes_fit(F.col("n"), F.col("pivot.n"), percent)).select("grp", "n", "pivot").distinct()
     star = star.join(head, ["grp", "n"]).select("pivot", F.col("head").alias("b")).join(
         head.select(F.struct("grp", "n").alias("pivot"), F.col("head").alias("a")), "pivot").select("a", "b")
@@ -434,17 +478,22 @@ def _labelled(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str)
         worked = worked.select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "set", "n", "comp", "block")
         worked = worked.join(classes.select("set", "bits"), "set").select("value", "i", "j", "set", "n", "comp", "block", "bits")
         worked = worked.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j", "n")
+        compared = freeze(map_batches(worked, _compare(percent, best), "a binary, b binary, value long"), "compared")
+        free_shuffles(spark)
         before = len(found)
-        _joined(rows, classes, map_batches(worked, _compare(percent, best), "a binary, b binary"), found, n, percent)
-        if len(found) == before and best:
-            break  # no pair at all passes the bitmaps
-        if best:
+        _joined(rows, classes, compared.select("a", "b"), found, n, percent)
+        if best and len(found) > before:
             comp = components(_union(found))
             new = comp.select(F.col("node").alias("set"), F.col("comp").alias("joined"))
-            moved = placed.join(new, "set", "left").select("value", "set", "n", F.coalesce("joined", "comp").alias("comp"))
+            # A list without a pair that passes has none later on either.
+            moved = placed.join(compared.select("value").distinct(), "value", "left_semi").join(new, "set", "left")
+            moved = moved.select("value", "set", "n", F.coalesce("joined", "comp").alias("comp"))
             old, placed = placed, freeze(_open(moved), "open")
             discard(old, comp)
             free_shuffles(spark)
+        discard(compared)
+        if len(found) == before:
+            break  # no pair at all passes the bitmaps
     discard(placed)
     every = _union(found) if found else classes.select(F.col("set").alias("a"), F.col("set").alias("b")).limit(0)
     comp = components(every)
@@ -488,6 +537,23 @@ def _open(placed: DataFrame) -> DataFrame:
     return placed.join(several.where("lo <> hi").select("value", "members"), "value")
 
 
+def _index(prefixes: DataFrame, percent: int) -> DataFrame:
+    """``value, grp, n, pivot``: the prefix values of each group that another group may be found by, and one group of each value.
+
+    A pair is found by the first value that both sets have. All they share stands from there on, so a set of ``n`` whose
+    value stands at ``pos`` meets sizes from ``percent`` of ``n`` to ``(n - pos) * (100 + percent) / percent - n`` there.
+    Rows whose list, in the order of sizes, has no such neighbour find nothing and are left out.
+    """
+    posts = prefixes.select("grp", "n", F.posexplode("prefix").alias("pos", "value"))
+    by_size = Window.partitionBy("value").orderBy("n")
+    less, more = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    met = (less * 100 >= F.col("n") * percent) | ((more + F.col("n")) * percent <= (F.col("n") - F.col("pos")) * (100 + percent))
+    kept = posts.withColumn("met", met).where("met").select("value", "grp", "n")
+    every = Window.partitionBy("value")
+    kept = kept.withColumns({"k": F.count(F.lit(1)).over(every), "pivot": F.min(F.struct("grp", "n")).over(every)})
+    return kept.where("k > 1").select("value", "grp", "n", "pivot")
+
+
 def _joined(rows: DataFrame, classes: DataFrame, pairs: DataFrame, found: list[DataFrame], n: int, percent: int) -> None:
     """Verify pairs of classes until every one is a link, no link, or inside a component; add the links to ``found``.
 

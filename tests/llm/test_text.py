@@ -379,3 +379,30 @@ def test_lists_are_compared_whole_and_the_first_pass_is_linear():
             got = [p for t in jaccard._compare(90, best)(batches(size)) for p in zip(t.column(0).to_pylist(), t.column(1).to_pylist())]
             assert set(got) <= expected and (best or set(got) == expected)
             assert len(got) <= (len(rows) if best else len(expected))
+
+
+def test_bitmaps_tell_long_unlike_texts_apart():
+    import types
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    long = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, n)) for n in (9000, 9200, 60, 61, 40000)]
+    long += [long[0] + " more", long[2] + " more", long[4] + " more"]
+    frequent = types.SimpleNamespace(value=(np.empty(0, np.uint64), np.empty(0, np.int64)))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(long))), pa.array([x.encode() for x in long]), pa.array(range(len(long)))],
+                                       names=["doc_id", "text", "text_key"])
+    for n, percent in ((3, 90), (5, 80)):
+        rows = next(iter(jaccard._signatures(n, percent, frequent)(iter([batch])))).to_pylist()
+        pairs = [(a, b) for x, a in enumerate(rows) for b in rows[x + 1 :] if min(a["n"], b["n"]) * 100 >= percent * max(a["n"], b["n"])]
+        names = ["a", "b", "n_a", "n_b", "bits_a", "bits_b", "key_a", "key_b"]
+        columns = [[(a, b)[i % 2][c] for a, b in pairs] for i, c in enumerate(("set", "set", "n", "n", "bits", "bits", "doc_id", "doc_id"))]
+        passed = jaccard._may_link(percent)(iter([pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)]))
+        got = {(r["key_a"], r["key_b"]) for t in passed for r in t.to_pylist()}
+        assert len(pairs) > 3 and got == {(0, 5), (2, 6), (4, 7)}  # before: all pairs of the long ones
+
+
+def test_prefix_index_leaves_out_rows_without_a_fitting_neighbour(spark):
+    rows = [(1, 100, list(range(11))), (2, 101, list(range(3, 14))), (3, 300, [0, 10, 99]), (4, 290, [7, 99]), (5, 100, [50, 51])]
+    got = sorted((r.value, r.grp) for r in jaccard._index(spark.createDataFrame(rows, "grp long, n long, prefix array<bigint>"), 90).collect())
+    assert got == [(3, 1), (3, 2), (4, 1), (4, 2), (99, 3), (99, 4)]  # 5 and more stand too late in group 1 for a size of 101
