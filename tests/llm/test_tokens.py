@@ -183,3 +183,18 @@ def test_words_in_one_call_have_the_ids_of_words_alone():
     clean = [i for i, w in enumerate(words) if not set(w) & set("<>")]
     assert lib.word_ids([words[i] for i in clean]) == [want[i] for i in clean]
     assert lib.word_ids([]) == [] and lib.word_ids(["<|endoftext|>"]) == want[:1]
+
+
+def test_words_of_one_stem_are_encoded_once():
+    lib, t = Library(WORD), Tokenizer.from_file(WORD)
+    rng = random.Random(3)
+    letters = "abcXYZéÈßÿþÐµ×÷ªĳİſKé"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) + rng.choice(["", ",", "...", "'s", "'", "<|", "|>", "&*%", "7", "!?x", "$'d"])
+             for _ in range(3000)]
+    words += ["<|startoftext|>", "Word<|endoftext|>", "word", "Word", "WORD,", "word!!", "É", "é", "'s", "s", "é", "É,"]
+    assert lib.ids(words) == [np.array(t.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    calls, encode = [], lib._encode
+    lib._encode = lambda texts: calls.extend(texts) or encode(texts)
+    assert lib.ids(["Stemming stemming, STEMMING! Éclair éclair."])[0] == np.array(
+        t.encode("Stemming stemming, STEMMING! Éclair éclair.", add_special_tokens=False).ids, "<u4").tobytes()
+    assert not calls and {"stemming", "éclair"} <= set(lib._stems)  # before: all five words went to the library as they stand
