@@ -33,6 +33,8 @@ OUT_BYTES = 1 << 20
 CUT_ROWS = 4096
 #: Bytes of segments in a shard on average; a shard may be many times larger.
 SHARD_BYTES = 1 << 19
+#: Ranges of the number of bytes before an anchor that segments are compared by before the sort.
+SIDES = 16
 #: Suffix tuples a shard's queue holds in memory.
 QUEUE_ROWS = 1 << 16
 
@@ -175,17 +177,18 @@ def _cut(length: int):
 def _may_share(hashes: list[int], parts: list[bytes], at: list[int], length: int) -> np.ndarray:
     """Marks segments that can share a passage with another one of their anchor.
 
-    A passage holds its anchor and half of its other bytes, or more, on one side of it; two that are equal agree in as
-    many bytes on that side.
+    A passage holds its anchor and ``length - GRAM`` other bytes, some of them before it. Equal ones agree in what a passage
+    has there at least, whichever of ``SIDES`` ranges that number of bytes is in.
     """
-    side = (length - GRAM + 1) // 2
-    keys = np.empty((2, len(parts)), np.uint64)
-    for i, (h, part, a) in enumerate(zip(hashes, parts, at)):
-        # A segment that is too short on one side keeps a key of its own there: it has no such passage.
-        keys[0, i] = xxhash.xxh3_64_intdigest(part[a - side : a], h & SEED_BITS) if a >= side else i
-        keys[1, i] = xxhash.xxh3_64_intdigest(part[a + GRAM : a + GRAM + side], ~h & SEED_BITS) if len(part) - a - GRAM >= side else i
+    around = length - GRAM
+    edges = [around * i // SIDES for i in range(SIDES + 1)]
     kept = np.zeros(len(parts), bool)
-    for key in keys:
+    for least, most in zip(edges, edges[1:]):
+        before, after = least, GRAM + around - most
+        # A segment that is too short on one side keeps a key of its own there: it has no such passage.
+        key = np.fromiter((
+            xxhash.xxh3_64_intdigest(part[a - before : a + after], h & SEED_BITS) if a >= before and len(part) - a >= after else i
+            for i, (h, part, a) in enumerate(zip(hashes, parts, at))), np.uint64, len(parts))
         _, which, count = np.unique(key, return_inverse=True, return_counts=True)
         kept |= count[which] > 1
     return kept

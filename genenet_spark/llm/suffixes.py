@@ -21,8 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Bytes in the first symbol of a suffix. Symbols of several bytes spread the suffixes over more ranges; order is the same.
-SYMBOL_BYTES = 4
+#: Bytes in the first symbol of a suffix, no more than an integer of 64 bits holds. Symbols of several bytes spread the
+#: suffixes over more ranges and tell more of them apart; order is the same.
+SYMBOL_BYTES = 7
 #: Arrays below this many bytes stay in memory.
 IN_MEMORY = 1 << 23
 SAMPLE = 1 << 14
@@ -37,11 +38,12 @@ def scratch(n: int, dtype) -> np.ndarray:
 
 
 class RangeMinimum:
-    """Least value of any stretch of an array, by a table of powers of two."""
+    """Least value of any stretch of an array, of at most ``widest`` values, by a table of powers of two."""
 
-    def __init__(self, values: np.ndarray):
+    def __init__(self, values: np.ndarray, widest: int | None = None):
         n = len(values)
-        self.rows = np.empty((max(1, n.bit_length()), n), values.dtype)
+        narrow = np.int32 if n and int(values.max()) < 1 << 31 else values.dtype
+        self.rows = np.empty((max(1, (n if widest is None else min(n, widest)).bit_length()), n), narrow)
         self.rows[0] = values
         for j in range(1, len(self.rows)):
             half = 1 << (j - 1)
@@ -53,6 +55,11 @@ class RangeMinimum:
         level = np.frexp(last - first + 1)[1] - 1
         return np.minimum(self.rows[level, first], self.rows[level, last - (np.int64(1) << level) + 1])
 
+    @staticmethod
+    def once(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """``least`` for stretches that are asked once: the table goes no further than the widest of them."""
+        return RangeMinimum(values, int((last - first).max()) + 1).least(first, last)
+
 
 class SuffixQueue:
     """A priority queue of tuples (symbol, order, position, common prefix), least symbol and order first.
@@ -112,10 +119,10 @@ class Text:
         return self.top - found if self.reverse else found
 
     def splitters(self, memory: int) -> list[int]:
-        """Upper ends of ranges of symbols with at most about ``memory`` suffixes each, at least some 64 ranges."""
+        """Upper ends of ranges of symbols with at most about ``memory`` suffixes each, at least some 8 ranges."""
         n = len(self.symbols)
         sample = np.sort(self.at(np.arange(0, n, max(1, n // SAMPLE))))
-        step = max(1, int(len(sample) * min(memory, max(4096, n // 64)) / max(n, 1)))
+        step = max(1, int(len(sample) * min(memory, max(4096, n // 8)) / max(n, 1)))
         return [*(int(v) for v in np.unique(sample[step::step]) if v > sample[0]), self.top + 1]
 
     def runs(self, positions: np.ndarray) -> np.ndarray:
@@ -205,7 +212,7 @@ def induce(text: Text, target: np.ndarray, count: int, seeds: np.ndarray, seed_l
         if len(pairs):
             one, two = rank[follows[order[pairs - 1]]], rank[follows[order[pairs]]]
             for _ in range(depth - 1):
-                lcp[pairs] = 1 + RangeMinimum(lcp).least(one + 1, two)
+                lcp[pairs] = 1 + RangeMinimum.once(lcp, one + 1, two)
         first, before, by = (np.concatenate(c) for c in zip(*outside))
         if len(first):
             by = rank[by]
@@ -214,7 +221,7 @@ def induce(text: Text, target: np.ndarray, count: int, seeds: np.ndarray, seed_l
             shared = np.ones(len(first), np.int64)
             near = np.flatnonzero(first[1:] == first[:-1]) + 1
             if len(near):
-                shared[near] = 1 + RangeMinimum(lcp).least(by[near - 1] + 1, by[near])
+                shared[near] = 1 + RangeMinimum.once(lcp, by[near - 1] + 1, by[near])
             queue.push(np.stack([first, base + by, before, shared], axis=1))
         found = kind_sorted != 2
         n = int(found.sum())
@@ -365,15 +372,15 @@ def sort_suffixes(symbols: np.ndarray, memory: int) -> tuple[np.ndarray, np.ndar
     return pos, lcp
 
 
-def packed(data: np.ndarray) -> np.ndarray:
-    """Symbols of ``SYMBOL_BYTES`` neighbours each from codes (byte + 1, sentinels 0), cut off at the segment's end."""
+def packed(data: np.ndarray, width: int) -> np.ndarray:
+    """Symbols of ``width`` neighbours each from codes (byte + 1, sentinels 0), cut off at the segment's end."""
     n = len(data)
     out = scratch(n, np.int64)
     for a in range(0, n, CHUNK):
-        here = np.asarray(data[a : a + CHUNK + SYMBOL_BYTES - 1], np.int64)
+        here = np.asarray(data[a : a + CHUNK + width - 1], np.int64)
         m = min(CHUNK, n - a)
         symbol, inside = np.zeros(m, np.int64), np.ones(m, bool)
-        for j in range(SYMBOL_BYTES):
+        for j in range(width):
             code = np.zeros(m, np.int64)
             part = here[j : j + m]
             code[: len(part)] = part
@@ -385,8 +392,9 @@ def packed(data: np.ndarray) -> np.ndarray:
 
 def repeated_groups(data: np.ndarray, length: int, memory: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``positions, group starts`` of suffixes that share their first ``length`` bytes with another, range by range."""
-    least = max(1, length - SYMBOL_BYTES + 1)
-    for pos, lcp in _levels(packed(data), memory):
+    width = min(SYMBOL_BYTES, length)
+    least = length - width + 1
+    for pos, lcp in _levels(packed(data, width), memory):
         joined = lcp >= least
         member = joined.copy()
         member[:-1] |= joined[1:]

@@ -105,6 +105,41 @@ def run(spark, rows, **more):
     return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in out.collect()), key=str)
 
 
+@pytest.mark.parametrize("length", [1, 3, 7, 12])
+def test_groups_of_any_length(length):
+    rng = np.random.default_rng(length)
+    data = np.concatenate([np.append(rng.integers(1, 4, 90), 0) for _ in range(8)])
+    true = {}
+    for p in range(len(data) - length + 1):
+        if (data[p : p + length] > 0).all():
+            true.setdefault(tuple(data[p : p + length].tolist()), set()).add(p)
+    found = {}
+    for pos, starts in suffixes.repeated_groups(data, length, 50):
+        for part in np.split(pos, starts[1:]):
+            whole = {p for p in part.tolist() if tuple(data[p : p + length].tolist()) in true}
+            if len(whole) > 1:
+                found.setdefault(tuple(data[min(whole) : min(whole) + length].tolist()), set()).update(whole)
+    assert found == {k: v for k, v in true.items() if len(v) > 1}
+
+
+def test_segments_that_cannot_share_a_passage_are_not_sorted():
+    rng = random.Random(4)
+    anchor, side = rng.randbytes(repeats.GRAM), repeats.LENGTH - repeats.GRAM
+    parts, twins = [], set()
+    for shared in range(side + 1):  # bytes after the anchor that two segments share, and as many as needed before it or a few less
+        for lacking in (0, 12):
+            before, after = rng.randbytes(max(0, side - shared - lacking)), rng.randbytes(shared)
+            if not lacking:
+                twins |= {len(parts), len(parts) + 1}
+            for _ in range(2):
+                front = rng.randbytes(side - len(before)) + before
+                parts.append((front + anchor + after + rng.randbytes(side - shared), len(front)))
+    kept = repeats._may_share([7 * (i // 2) for i in range(len(parts))], [p for p, _ in parts], [a for _, a in parts], repeats.LENGTH)
+    kept = set(np.flatnonzero(kept).tolist())
+    assert twins <= kept  # none that shares a passage is left out
+    assert len(kept - twins) <= len(parts) // 8  # most of the others are, too
+
+
 def test_repeats_of_the_table(spark, sf0001):
     rows = [(r.doc_id, r.text.encode() if r.text is not None else None) for r in spark.read.parquet(f"{sf0001}/documents.parquet").collect()]
     out = sorted(map(tuple, queries.op13_repeats(spark, sf0001).collect()), key=str)
