@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genenet_spark.llm.common import discard, free_shuffles, freeze, map_batches
+from genenet_spark.llm.common import discard, free_shuffles, freeze, map_batches, small_batches
 from genenet_spark.llm.components import components
 
 #: Frequent values that the global order knows; a task reports at most as many.
@@ -61,7 +61,9 @@ BROADCAST_KEYS = 2_000_000
 #: Bits of the parity bitmap of a set: a power of two, least and most.
 BITMAP, WIDEST = 1024, 1 << 20
 #: Bytes of bitmaps that are compared at once.
-COMPARED = 32 << 20
+COMPARED = 4 << 20
+#: Words whose hashes a Python worker keeps: some 10 MB. Hashing a word again costs no more than finding it in a large table.
+HASHED_WORDS = 1 << 16
 
 
 class _WordHashes(dict):
@@ -69,7 +71,7 @@ class _WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 500_000:
+        if len(self) < HASHED_WORDS:
             self[word] = value
         return value
 
@@ -382,8 +384,10 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     repeated; null ids never are the smallest (null only where all ids of a component are null); other columns
     are ignored; an empty table gives an empty result.
     """
-    signed, label, classes, rows = _labelled(docs, n, percent, id_col, text_col)
-    links = _linked(rows, classes, label, n, percent, pairs=False).groupBy("set").agg(F.sum("links").alias("links"))
+    with small_batches(docs.sparkSession):
+        signed, label, classes, rows = _labelled(docs, n, percent, id_col, text_col)
+        links = _linked(rows, classes, label, n, percent, pairs=False)
+    links = links.groupBy("set").agg(F.sum("links").alias("links"))
     discard(classes)
     label = label.join(links, "set", "left")
     return signed.select("doc_id", F.col("n").alias("n_shingles"), "set").join(label, "set", "left").select(
@@ -393,8 +397,9 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
 
 def linked_classes(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(``a, b`` of every linked pair of classes, ``doc_id, set`` of each input row: its class). Rows of one class are all linked."""
-    signed, label, classes, rows = _labelled(docs, n, percent, id_col, text_col)
-    links = _linked(rows, classes, label, n, percent, pairs=True)
+    with small_batches(docs.sparkSession):
+        signed, label, classes, rows = _labelled(docs, n, percent, id_col, text_col)
+        links = _linked(rows, classes, label, n, percent, pairs=True)
     discard(classes, label)
     return links, signed.where("n > 0").select("doc_id", "set")
 
@@ -405,7 +410,8 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_
     It is the row of the smallest id (a null id only where all are null), of rows of that id the one of the
     least text hash, of those the first by its other columns (as JSON). Rows without words are linked with nothing and stay.
     """
-    signed, label, classes, _ = _labelled(docs, n, percent, id_col, text_col)
+    with small_batches(docs.sparkSession):
+        signed, label, classes, _ = _labelled(docs, n, percent, id_col, text_col)
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     rows = signed.where("n > 0").join(label.select("set", "comp"), "set").select("comp", row.alias("row"))
     first = rows.groupBy("comp").agg(F.min("row").alias("row"))

@@ -8,7 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from genenet_spark.llm import chat, decontaminate, jaccard, language, lines, queries
+from genenet_spark.llm import chat, common, decontaminate, jaccard, language, lines, queries
 from genenet_spark.session import ensure_checkpoint_dir
 
 TABLES = ["documents", "benchmark", "conversations", "embeddings"]
@@ -217,6 +217,46 @@ def test_jaccard_keep_one(spark):
     assert jaccard.keep_one(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("many", [False, True])
+def test_jaccard_tasks_get_few_rows_at_once(spark, monkeypatch, many):
+    most, key = common.BATCH_ROWS, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def counted(make):
+        def made(*args):
+            inner = make(*args)
+
+            def run(batches):
+                def looked():
+                    for batch in batches:
+                        assert batch.num_rows <= most
+                        yield batch
+
+                return inner(looked())
+
+            return run
+
+        return made
+
+    for step in ("_frequent", "_signatures", "_may_link", "_verify", "_compare"):
+        monkeypatch.setattr(jaccard, step, counted(getattr(jaccard, step)))
+    rows = [(i, f"a{i // 2} b{i // 2} c d{i // 2} e{i // 2} f{i // 2}" + " g" * (i % 2)) for i in range(2500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    before = spark.conf.get(key, None)
+    if many:
+        got = jaccard.linked_classes(frame, 3, 50)[0].count()
+        assert got == 1250
+    else:
+        assert jaccard.keep_one(frame, 3, 50).count() == 1250
+    assert spark.conf.get(key, None) == before
+
+
+def test_jaccard_keeps_few_word_hashes():
+    held = jaccard._WordHashes()
+    for i in range(100_000):
+        assert held[b"%d" % i] == held[b"%d" % i]
+    assert len(held) <= 1 << 16
+
+
 def test_jaccard_keep_one_of_repeated_ids_and_texts(spark):
     text = "one two three four five six seven"
     rows = [(1, text, m, None) for m in (5, 3, 9)] + [(1, text, None, {"k": 1}), (2, text, 0, None), (3, "", 8, None), (3, "", 7, None)]
